@@ -37,10 +37,9 @@ def effect_rank(annotation: Column, ranks: Mapping[str, int] | None = None) -> C
 
 
 def severity_order(
-    allele: Column, alt: Column, annotation: Column, position: Column,
-    ranks: Mapping[str, int] | None = None,
+    allele: Column, alt: Column, annotation: Column, ranks: Mapping[str, int] | None = None
 ) -> Column:
-    """Sortable struct: own allele first, then rank, then unknown terms by text, then input order."""
+    """Sortable struct: own allele first, then rank, then unknown terms by text, missing last."""
     rank = effect_rank(annotation, ranks).cast("double")
     term = F.substring_index(annotation, "&", 1)
     return F.struct(
@@ -48,7 +47,6 @@ def severity_order(
         F.when(annotation.isNull(), F.lit(3)).when(rank.isNull(), F.lit(2)).otherwise(F.lit(1)).alias("tier"),
         F.coalesce(rank, F.lit(0.0)).alias("rank"),
         F.when(rank.isNull(), term).alias("term"),
-        position.alias("position"),
     )
 
 

@@ -92,8 +92,8 @@ def best_annotation(df: DataFrame, ann_fields: Sequence[str], ranks: Ranks | Non
         effect = F.nullif(
             F.substring_index(F.substring_index(entry, "|", 2), "|", -1), F.lit("")
         )
-        order = L.severity_order(allele, F.col("ALT"), effect, i, ranks)
-        return F.struct(order.alias("order"), entry.alias("entry"))
+        order = L.severity_order(allele, F.col("ALT"), effect, ranks)
+        return F.struct(order.alias("order"), i.alias("position"), entry.alias("entry"))
 
     best = F.array_min(F.transform(F.split("ANN", ","), scored))
     chosen = df.filter(F.col("ANN").isNotNull()).select(*rest, best.alias("_best"))
@@ -106,13 +106,14 @@ def best_annotation(df: DataFrame, ann_fields: Sequence[str], ranks: Ranks | Non
 
 
 def prioritize(
-    df: DataFrame, by: Sequence[str] = KEY, ranks: Ranks | None = None, position: str = "ANN_INDEX"
+    df: DataFrame,
+    by: Sequence[str] = KEY,
+    ranks: Ranks | None = None,
+    position: Sequence[str] = ("ANN_INDEX",),
 ) -> DataFrame:
     """One annotation per variant: own allele first, then severity, then input order."""
-    order = L.severity_order(
-        F.col("Allele"), F.col("ALT"), F.col("Annotation"), col(position), ranks
-    )
-    return keep_one(df, by, order.asc())
+    order = L.severity_order(F.col("Allele"), F.col("ALT"), F.col("Annotation"), ranks)
+    return keep_one(df, by, order.asc(), *[col(c).asc() for c in position])
 
 
 def standardize(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

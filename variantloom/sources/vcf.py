@@ -12,8 +12,6 @@ from variantloom.functions.labels import col
 from variantloom.names import ANN_FIELDS, MISSING
 from variantloom.session import small_side
 
-FIXED = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER"]
-
 
 @dataclass(frozen=True)
 class Header:
@@ -102,11 +100,11 @@ def sample_names(lines: DataFrame) -> DataFrame:
 
 def info_map(info: Column) -> Column:
     """INFO text as a map; a flag maps to NULL, a repeated key keeps its last value."""
-    items = F.filter(F.split(info, ";"), lambda item: (item != "") & (item != MISSING))
 
     def key_of(item: Column) -> Column:
         return F.substring_index(item, "=", 1)
 
+    items = F.split(info, ";")
     keys = F.transform(items, key_of)
     backwards = F.reverse(keys)
     last_only = F.filter(
@@ -128,17 +126,20 @@ def parse_records(lines: DataFrame, info_ids: Iterable[str]) -> DataFrame:
     records = lines.filter(~F.col("line").startswith("#") & (F.col("line") != "")).select(
         *kept, F.split("line", "\t", 9).alias("_f")
     )
-    f = F.col("_f")
+
+    def at(i: int) -> Column:
+        return F.get("_f", F.lit(i))
+
     fixed = records.select(
         *kept,
-        f[0].alias("CHROM"),
-        f[1].cast("bigint").alias("POS"),
-        F.nullif(f[2], F.lit(MISSING)).alias("ID"),
-        f[3].alias("REF"),
-        f[4].alias("ALT"),
-        f[5].try_cast("double").alias("QUAL"),
-        F.nullif(f[6], F.lit(MISSING)).alias("FILTER"),
-        info_map(f[7]).alias("_info"),
+        at(0).alias("CHROM"),
+        at(1).cast("bigint").alias("POS"),
+        F.nullif(at(2), F.lit(MISSING)).alias("ID"),
+        at(3).alias("REF"),
+        at(4).alias("ALT"),
+        at(5).try_cast("double").alias("QUAL"),
+        F.nullif(at(6), F.lit(MISSING)).alias("FILTER"),
+        info_map(at(7)).alias("_info"),
     )
 
     def value(key: str) -> Column:
