@@ -17,12 +17,23 @@ from variantloom.names import (
     RSID_URL,
 )
 
-NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+# Java reads "1d" and "1f" as numbers; a variant file does not.
+JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
+
+
+def quoted(name: str) -> str:
+    """Exact column name for SQL text; variant column names may contain dots and blanks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    """Text as a SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def col(name: str) -> Column:
-    """Column by exact name; variant column names may contain dots and blanks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def default_ranks() -> dict[str, int]:
@@ -65,9 +76,15 @@ def zygosity(is_hom: Column) -> Column:
     return F.when(is_hom, F.lit("HOM")).otherwise(F.lit("HET"))
 
 
+def number(value: Column) -> Column:
+    """Text as a number; anything else becomes NULL."""
+    parsed = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+    return F.when(~value.rlike(JAVA_SUFFIX), parsed)
+
+
 def to_double(value: Column) -> Column:
     """Number rounded to 6 places; anything that is not a number becomes NULL."""
-    return F.round(F.when(value.rlike(NUMBER), value.try_cast("double")), 6)
+    return F.round(number(value), 6)
 
 
 def to_integer(value: Column) -> Column:
@@ -77,7 +94,7 @@ def to_integer(value: Column) -> Column:
 def esp_frequency(maf: Column, position: int) -> Column:
     """One of the comma-separated percentages as a fraction."""
     part = F.get(F.split(maf, ","), F.lit(position))
-    return F.round(F.when(part.rlike(NUMBER), part.try_cast("double")) / F.lit(100.0), 6)
+    return F.round(number(part) / F.lit(100.0), 6)
 
 
 def polyphen_prediction(value: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from variantloom.functions import labels as L
 from variantloom.functions.labels import col
 from variantloom.names import KEY, MISSING
-from variantloom.session import BROADCAST_ROWS, small_side
+from variantloom.session import BROADCAST_ROWS, is_small
 
 CALL_COLUMNS = ["SAMPLE", *KEY, "ZIGOSITY", "GENE_NAME", "HGVS.C", "HGVS.P"]
 LABEL_COLUMNS = ["GENE_NAME", "HGVS.C", "HGVS.P"]
@@ -134,14 +134,17 @@ def matrix_to_calls(matrix: DataFrame, samples: Sequence[str]) -> DataFrame:
 
 
 def of_report(table: DataFrame, report: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows of a big cohort table whose variant is in the report."""
-    return table.join(small_side(report.select(*KEY).distinct(), max_broadcast_rows), KEY, "left_semi")
+    """A big cohort table cut to the report's variants, without shuffling it, if the report is small."""
+    keys = report.select(*KEY)
+    if is_small(keys, max_broadcast_rows):
+        return table.join(F.broadcast(keys.distinct()), KEY, "left_semi")
+    return table
 
 
 def annotate_frequencies(report: DataFrame, frequencies: DataFrame) -> DataFrame:
     """Left join of a report with the cohort: VARDB_FREQ and ALLELE_FREQ, to 6 places."""
     old = [c for c in ("FREQ", "ALLELE_FREQ", "VARDB_FREQ") if c in report.columns]
-    wanted = frequencies.select(
+    wanted = of_report(frequencies, report).select(
         *KEY,
         F.round(F.col("FREQ").cast("double"), 6).alias("VARDB_FREQ"),
         F.round(F.col("ALLELE_FREQ").cast("double"), 6).alias("ALLELE_FREQ"),
@@ -152,10 +155,15 @@ def annotate_frequencies(report: DataFrame, frequencies: DataFrame) -> DataFrame
 def carriers(report: DataFrame, calls: DataFrame) -> DataFrame:
     """Per report variant, the sorted list of cohort samples that carry it (may be empty).
 
-    The list is the report's cell, at most one name per cohort sample.
+    The list is the report's cell, at most one name per cohort sample; the sets are
+    merged map-side.
     """
     called = calls.filter(F.col("ZIGOSITY").isNotNull() & (F.col("ZIGOSITY") != MISSING))
-    names = called.groupBy(*KEY).agg(F.sort_array(F.collect_set("SAMPLE")).alias("_names"))
+    names = (
+        of_report(called, report)
+        .groupBy(*KEY)
+        .agg(F.sort_array(F.collect_set("SAMPLE")).alias("_names"))
+    )
     joined = report.select(*KEY).distinct().join(names, KEY, "left")
     return joined.select(
         *KEY,

@@ -31,9 +31,9 @@ def depth_runs(
 
     Depth changes are summed per position first, so a pile-up shrinks before the
     shuffle. Each bin then holds at most `bin_width` positions; the depth carried into
-    a bin comes from running totals over bins. With `lengths` (CHROM, LENGTH) the zero
-    runs before the first and after the last read are included, and chromosomes
-    without reads; reads must lie within their chromosome.
+    a bin comes from running totals over bins. With `lengths` (the `by` columns and
+    LENGTH) the zero runs before the first and after the last read are included, and
+    chromosomes without reads; reads must lie within their chromosome.
     """
     by = list(by)
     steps = F.array(
@@ -42,13 +42,9 @@ def depth_runs(
     )
     changes = reads.filter("START < END").select(*by, F.inline(steps)).withColumn("edge", F.lit(0))
     if lengths is not None:
-        groups = [c for c in by if c != "CHROM"]
         ends = lengths.select(
-            "CHROM", F.explode(F.array(F.lit(0).cast("bigint"), F.col("LENGTH").cast("bigint"))).alias("POS")
+            *by, F.explode(F.array(F.lit(0).cast("bigint"), F.col("LENGTH").cast("bigint"))).alias("POS")
         )
-        if groups:
-            # One row per read file and contig, never per read.
-            ends = reads.select(*groups).distinct().join(small_side(ends))
         changes = changes.unionByName(ends.withColumns({"step": F.lit(0), "edge": F.lit(1)}))
     points = (
         changes.groupBy(*by, "POS")

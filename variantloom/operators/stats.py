@@ -90,7 +90,9 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, "name", "full_outer").select("name", label.alias("side"), "left_filled", "right_filled")
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], ranges: int = 256
+) -> DataFrame:
     """Linear-interpolated quantiles of whole columns, without gathering a column in one task.
 
     Values are counted first (hot values shrink map-side), spread over ranges between
@@ -106,16 +108,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    steps = [i / 64 for i in range(1, 64)]
+    steps = [i / ranges for i in range(1, ranges)]
     # One row per column of the table.
-    cuts = F.broadcast(counts.groupBy("name").agg(F.percentile_approx("value", steps, 1000).alias("cuts")))
+    cuts = F.broadcast(counts.groupBy("name").agg(F.percentile_approx("value", steps, 8 * ranges).alias("cuts")))
     ranged = counts.join(cuts, "name").select(
         "name", "value", "n", F.size(F.filter("cuts", lambda cut: cut <= F.col("value"))).alias("range")
     )
     totals = ranged.groupBy("name", "range").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("name")
-    # At most 64 rows per column of the table.
+    # At most `ranges` rows per column of the table.
     offsets = F.broadcast(
         totals.select(
             "name",

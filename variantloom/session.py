@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side with at most this many narrow rows (well under 100 MB) may be broadcast.
+# A join side within both bounds may be broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -33,11 +35,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` marked for broadcast if a bounded count proves it small; else left to a shuffle join.
+def row_bytes(df: DataFrame) -> Column:
+    """Rough size of a row: text by its bytes, other cells by 16."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) if kind == "string" else F.lit(16)
+        for name, kind in df.dtypes
+    ]
+    return reduce(lambda a, b: a + b, sizes).cast("bigint")
 
-    Runs one job that never reads more than `max_rows + 1` rows per partition.
-    """
-    if max_rows <= 0 or df.limit(max_rows + 1).count() > max_rows:
-        return df.hint("merge")
-    return F.broadcast(df)
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether `df` is proven small. Runs one job that stops after `max_rows + 1` rows per task."""
+    if max_rows <= 0:
+        return False
+    sizes = df.select(row_bytes(df).alias("bytes")).limit(max_rows + 1)
+    total = sizes.agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).first()
+    return total["rows"] <= max_rows and (total["bytes"] or 0) <= max_bytes
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` marked for broadcast if a bounded check proves it small; else for a shuffle join."""
+    return F.broadcast(df) if is_small(df, max_rows) else df.hint("merge")

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from itertools import takewhile
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.functions.labels import col
+from variantloom.functions.labels import quoted, text_literal
 from variantloom.names import ANN_FIELDS, MISSING
 from variantloom.session import small_side
+from variantloom.sources.files import can_open, open_text
+
+
+# Tasks get these helpers with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass(frozen=True)
@@ -21,14 +31,17 @@ class Header:
     ann_fields: list[str] = field(default_factory=lambda: list(ANN_FIELDS))
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str], recursive: bool = False) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, glob: str = "*.vcf*"
+) -> DataFrame:
     """Lines of VCF files with their file and an ordinal that grows along each file.
 
     Large files are split; a line's place is (offset of its split, row within the split).
+    `recursive` reads all files matching `glob` below the paths.
     """
     reader = spark.read
     if recursive:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.vcf*")
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     text = reader.text([paths] if isinstance(paths, str) else list(paths))
     return text.select(
         F.col("_metadata.file_path").alias("file"),
@@ -40,6 +53,29 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], recursive: bool
     )
 
 
+def header_lines(lines: DataFrame) -> DataFrame:
+    """`#` lines of every file (file, line), read from the start of each file only.
+
+    On storage that Arrow cannot open, one pass over the text filters them instead.
+    """
+    # Local paths read "file:/x" in the metadata column and "file:///x" in the file list.
+    files = [re.sub("^file:/+", "file:/", f) for f in lines.inputFiles()]
+    if files and can_open(files[0]):
+        listing = lines.sparkSession.createDataFrame([(f,) for f in files], "file string")
+        tasks = min(len(files), 1000)
+        return listing.repartition(tasks).mapInPandas(leading_lines, "file string, line string")
+    return lines.filter(F.col("line").startswith("#")).select("file", "line")
+
+
+def leading_lines(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    """The `#` lines of each listed file, up to the first record."""
+    for batch in batches:
+        for path in batch["file"]:
+            with open_text(path) as text:
+                found = list(takewhile(lambda line: line.startswith("#"), text))
+            yield pd.DataFrame({"file": path, "line": [line.rstrip("\r\n") for line in found]})
+
+
 def info_definitions(lines: DataFrame) -> DataFrame:
     """Distinct INFO definitions: id, number, type, description."""
     line = F.col("line")
@@ -99,7 +135,7 @@ def sample_names(lines: DataFrame) -> DataFrame:
 
 
 def info_map(info: Column) -> Column:
-    """INFO text as a map; a flag maps to NULL, a repeated key keeps its last value."""
+    """INFO text as a map; a flag reads "True", "." reads NULL, a repeated key keeps its last value."""
 
     def key_of(item: Column) -> Column:
         return F.substring_index(item, "=", 1)
@@ -113,14 +149,16 @@ def info_map(info: Column) -> Column:
     )
     unique = F.size(F.array_distinct(keys)) == F.size(keys)
     text = F.when(unique, info).otherwise(F.array_join(last_only, ";"))
-    return F.str_to_map(text, F.lit(";"), F.lit("="))
+    return F.transform_values(
+        F.str_to_map(text, F.lit(";"), F.lit("=")),
+        lambda _, value: F.nullif(F.coalesce(value, F.lit("True")), F.lit(MISSING)),
+    )
 
 
 def parse_records(lines: DataFrame, info_ids: Iterable[str]) -> DataFrame:
     """Records of VCF lines: the fixed columns plus the asked INFO ids.
 
     Needs columns file, ordinal, line; other columns (e.g. SAMPLE) are kept.
-    A present flag reads "True"; "." reads NULL.
     """
     kept = [c for c in lines.columns if c != "line"]
     records = lines.filter(~F.col("line").startswith("#") & (F.col("line") != "")).select(
@@ -142,19 +180,13 @@ def parse_records(lines: DataFrame, info_ids: Iterable[str]) -> DataFrame:
         info_map(at(7)).alias("_info"),
     )
 
-    def value(key: str) -> Column:
-        raw = F.col("_info")[F.lit(key)]
-        flag = F.map_contains_key("_info", F.lit(key)) & raw.isNull()
-        return F.when(flag, F.lit("True")).otherwise(F.nullif(raw, F.lit(MISSING))).alias(key)
-
-    return fixed.select(*[col(c) for c in fixed.columns if c != "_info"], *[value(k) for k in info_ids])
+    ids = [f"_info[{text_literal(key)}] AS {quoted(key)}" for key in info_ids]
+    return fixed.selectExpr(*[quoted(c) for c in fixed.columns if c != "_info"], *ids)
 
 
-def with_samples(lines: DataFrame, n_files: int) -> DataFrame:
-    """Add SAMPLE to every line of a file; the file list is broadcast only if `n_files` is small."""
-    names = sample_names(lines)
-    names = small_side(names, 0) if n_files > 200_000 else F.broadcast(names)
-    named = lines.join(names, "file", "left")
+def with_samples(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """Add the SAMPLE of its file to every line."""
+    named = lines.join(small_side(sample_names(headers)), "file", "left")
     return named.withColumn(
         "SAMPLE", F.coalesce("SAMPLE", F.element_at(F.split("file", "/"), -1))
     )
@@ -165,13 +197,14 @@ def read_vcf(
     paths: str | Sequence[str],
     header: Header | None = None,
     recursive: bool = False,
+    glob: str = "*.vcf*",
 ) -> tuple[DataFrame, Header]:
     """Records of one or many VCF files, one row per record, with their SAMPLE.
 
-    Without `header`, one extra pass over the text collects the INFO definitions;
-    pass the known definitions to read only the wanted INFO ids in one pass.
+    The text is read once; headers are read from the start of each file. Pass known
+    definitions as `header` to keep only the wanted INFO ids.
     """
-    lines = read_lines(spark, paths, recursive)
-    header = header or load_header(lines)
-    n_files = len(lines.inputFiles())
-    return parse_records(with_samples(lines, n_files), list(header.types)), header
+    lines = read_lines(spark, paths, recursive, glob)
+    headers = header_lines(lines)
+    header = header or load_header(headers)
+    return parse_records(with_samples(lines, headers), list(header.types)), header
