@@ -102,9 +102,10 @@ def parse_vcf(
     prioritized: bool | Ranks = True,
     recursive: bool = False,
     partition_by: Sequence[str] = (),
+    glob: str = "*.vcf*",
 ) -> None:
     """Flatten VCF files or a folder to CSV or parquet."""
-    variants = flatten_vcf(spark, paths, prioritized, recursive=recursive)
+    variants = flatten_vcf(spark, paths, prioritized, recursive=recursive, glob=glob)
     if file_type == "csv":
         sinks.write_flat_csv(variants, out)
     elif file_type == "parquet":

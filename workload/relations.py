@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantloom.functions.labels import col, quoted
+from variantloom.session import written
 from variantloom.sources.vcf import Header
 
 TABLES = [
@@ -189,7 +190,10 @@ def plain(df: DataFrame, *names: str) -> DataFrame:
 
 
 def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SAMPLE, file, ordinal, line: the records as VCF text, one file per sample."""
+    """SAMPLE, file, ordinal, line: the records as VCF text, one file per sample.
+
+    The text is written once, as real VCF text would lie on storage.
+    """
     entries = [
         f"concat_ws('|', allele{i}, effect{i}, impact{i}, gene, gene, 'transcript', feature{i}, 'Coding',"
         f" '1/1', hgvs_c{i}, hgvs_p{i}, '', '', '', '', '')"
@@ -200,12 +204,13 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ';1000Gp3_AF=', kg_af, ';ESP6500_MAF=', maf, ';ESP6500_PH=', ph, ';CLINVAR_CLNSIG=', clnsig,"
         f" if(annotated, concat(';ANN=', concat_ws(',', {', '.join(entries)})), ''))"
     )
-    return relation(spark, sf_dir, RECORDS).selectExpr(
+    lines = relation(spark, sf_dir, RECORDS).selectExpr(
         "sample AS SAMPLE",
         "concat(sample, '.vcf') AS file",
         "ordinal",
         f"concat_ws('\\t', chrom, pos, id, ref, alt, qual, filter_status, {info}, 'GT', '0/1') AS line",
     )
+    return written(lines, "vcf-lines")
 
 
 def header_text(sample: str) -> list[str]:
