@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from variantloom.functions.labels import quoted, text_literal
 from variantloom.names import ANN_FIELDS, MISSING
-from variantloom.session import small_side
+from variantloom.session import small_side, written
 from variantloom.sources.files import can_open, open_text
 
 
+# Headers are short: one task opens this many files.
+FILES_PER_TASK = 64
+
 # Tasks get these helpers with the job, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -62,8 +65,7 @@ def header_lines(lines: DataFrame) -> DataFrame:
     files = [re.sub("^file:/+", "file:/", f) for f in lines.inputFiles()]
     if files and can_open(files[0]):
         listing = lines.sparkSession.createDataFrame([(f,) for f in files], "file string")
-        tasks = min(len(files), 1000)
-        return listing.repartition(tasks).mapInPandas(leading_lines, "file string, line string")
+        return listing.repartition(1 + len(files) // FILES_PER_TASK).mapInPandas(leading_lines, "file string, line string")
     return lines.filter(F.col("line").startswith("#")).select("file", "line")
 
 
@@ -205,6 +207,6 @@ def read_vcf(
     definitions as `header` to keep only the wanted INFO ids.
     """
     lines = read_lines(spark, paths, recursive, glob)
-    headers = header_lines(lines)
+    headers = written(header_lines(lines), "headers")
     header = header or load_header(headers)
     return parse_records(with_samples(lines, headers), list(header.types)), header
