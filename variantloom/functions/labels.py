@@ -40,23 +40,27 @@ def default_ranks() -> dict[str, int]:
     return {effect: i for i, effect in enumerate(EFFECT_ORDER, start=1)}
 
 
-def effect_rank(annotation: Column, ranks: Mapping[str, int] | None = None) -> Column:
-    """Severity rank of the first `&`-part of an effect; NULL if the term is unknown."""
+def effect_term(annotation: Column) -> Column:
+    """First `&`-part of an effect."""
+    return F.nullif(F.substring_index(annotation, "&", 1), F.lit(""))
+
+
+def term_rank(term: Column, ranks: Mapping[str, int] | None = None) -> Column:
+    """Severity rank of an effect term; NULL if it is unknown."""
     table = default_ranks() if ranks is None else ranks
-    lookup = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return lookup[F.substring_index(annotation, "&", 1)]
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[term]
+
+
+def effect_rank(annotation: Column, ranks: Mapping[str, int] | None = None) -> Column:
+    return term_rank(effect_term(annotation), ranks)
 
 
-def severity_order(
-    allele: Column, alt: Column, annotation: Column, ranks: Mapping[str, int] | None = None
-) -> Column:
+def severity_order(allele: Column, alt: Column, term: Column, rank: Column) -> Column:
     """Sortable struct: own allele first, then rank, then unknown terms by text, missing last."""
-    rank = effect_rank(annotation, ranks).cast("double")
-    term = F.substring_index(annotation, "&", 1)
+    unranked = F.when(term.isNull(), F.lit(float("nan"))).otherwise(F.lit(float("inf")))
     return F.struct(
         (~allele.eqNullSafe(alt)).alias("foreign"),
-        F.when(annotation.isNull(), F.lit(3)).when(rank.isNull(), F.lit(2)).otherwise(F.lit(1)).alias("tier"),
-        F.coalesce(rank, F.lit(0.0)).alias("rank"),
+        F.coalesce(rank.cast("double"), unranked).alias("rank"),
         F.when(rank.isNull(), term).alias("term"),
     )
 

@@ -61,11 +61,9 @@ def split_multiallelic(
     return exploded.selectExpr(*out, "RAW_ALT", "ALLELE_INDEX")
 
 
-def annotation_fields(entry: Column, ann_fields: Sequence[str]) -> list[Column]:
-    parts = F.split(entry, "[|]")
-    return [
-        F.nullif(F.get(parts, F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(ann_fields)
-    ]
+def annotation_fields(parts: str, ann_fields: Sequence[str]) -> list[str]:
+    """SQL for the named fields of a split annotation entry."""
+    return [f"nullif(get({parts}, {i}), '') AS {quoted(name)}" for i, name in enumerate(ann_fields)]
 
 
 def explode_annotations(df: DataFrame, ann_fields: Sequence[str]) -> DataFrame:
@@ -73,7 +71,8 @@ def explode_annotations(df: DataFrame, ann_fields: Sequence[str]) -> DataFrame:
     rest = [quoted(c) for c in df.columns if c != "ANN"]
     exploded = df.select(*rest, F.posexplode(F.split("ANN", ",")).alias("ANN_INDEX", "_entry"))
     kept = [quoted(c) for c in exploded.columns if c != "_entry"]
-    return exploded.select(*kept, *annotation_fields(F.col("_entry"), ann_fields))
+    parts = exploded.select(*kept, F.split("_entry", r"\|").alias("_parts"))
+    return parts.selectExpr(*kept, *annotation_fields("_parts", ann_fields))
 
 
 def best_annotation(df: DataFrame, ann_fields: Sequence[str], ranks: Ranks | None = None) -> DataFrame:
@@ -83,22 +82,31 @@ def best_annotation(df: DataFrame, ann_fields: Sequence[str], ranks: Ranks | Non
     """
     rest = [quoted(c) for c in df.columns if c != "ANN"]
 
-    def scored(entry: Column, i: Column) -> Column:
-        allele = F.substring_index(entry, "|", 1)
-        effect = F.nullif(
-            F.substring_index(F.substring_index(entry, "|", 2), "|", -1), F.lit("")
+    # One step per transform: a lambda computes a repeated expression every time.
+    def parts(entry: Column, i: Column) -> Column:
+        effect = F.substring_index(F.substring_index(entry, "|", 2), "|", -1)
+        return F.struct(
+            F.substring_index(entry, "|", 1).alias("allele"),
+            L.effect_term(effect).alias("term"),
+            i.alias("i"),
+            entry.alias("entry"),
         )
-        order = L.severity_order(allele, F.col("ALT"), effect, ranks)
-        return F.struct(order.alias("order"), i.alias("position"), entry.alias("entry"))
 
-    best = F.array_min(F.transform(F.split("ANN", ","), scored))
+    def ranked(x: Column) -> Column:
+        return F.struct(x["allele"], x["term"], L.term_rank(x["term"], ranks).alias("rank"), x["i"], x["entry"])
+
+    def scored(x: Column) -> Column:
+        order = L.severity_order(x["allele"], F.col("ALT"), x["term"], x["rank"])
+        return F.struct(order.alias("order"), x["i"], x["entry"])
+
+    entries = F.transform(F.transform(F.split("ANN", ","), parts), ranked)
+    best = F.array_min(F.transform(entries, scored))
     chosen = df.select(*rest, best.alias("_best"))
-    names = [quoted(c) for c in chosen.columns if c != "_best"]
-    return chosen.select(
-        *names,
-        F.col("_best.order").alias("_severity"),
-        *annotation_fields(F.col("_best.entry"), ann_fields),
+    kept = [quoted(c) for c in chosen.columns if c != "_best"]
+    parts = chosen.select(
+        *kept, F.col("_best.order").alias("_severity"), F.split("_best.entry", r"\|").alias("_parts")
     )
+    return parts.selectExpr(*kept, "_severity", *annotation_fields("_parts", ann_fields))
 
 
 def prioritize(
@@ -108,7 +116,10 @@ def prioritize(
     position: Sequence[str] = ("ANN_INDEX",),
 ) -> DataFrame:
     """One annotation per variant: own allele first, then severity, then input order."""
-    order = L.severity_order(F.col("Allele"), F.col("ALT"), F.col("Annotation"), ranks)
+    annotation = F.col("Annotation")
+    order = L.severity_order(
+        F.col("Allele"), F.col("ALT"), L.effect_term(annotation), L.effect_rank(annotation, ranks)
+    )
     return first_per_key(df, by, order.asc(), *[col(c).asc() for c in position])
 
 

@@ -90,9 +90,18 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, "name", "full_outer").select("name", label.alias("side"), "left_filled", "right_filled")
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], ranges: int = 256
-) -> DataFrame:
+RANGE_BLOCK = 16
+RANGES = RANGE_BLOCK * RANGE_BLOCK
+
+
+def cuts_upto(value: Column) -> Column:
+    """How many of the sorted `cuts` are at most `value`: look among every 16th, then within 16."""
+    blocks = F.size(F.filter("block_cuts", lambda cut: cut <= value)) * RANGE_BLOCK
+    inside = F.slice("cuts", blocks + 1, RANGE_BLOCK - 1)
+    return blocks + F.size(F.filter(inside, lambda cut: cut <= value))
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles of whole columns, without gathering a column in one task.
 
     Values are counted first (hot values shrink map-side), spread over ranges between
@@ -108,16 +117,18 @@ def exact_quantiles(
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    steps = [i / ranges for i in range(1, ranges)]
-    # One row per column of the table.
-    cuts = F.broadcast(counts.groupBy("name").agg(F.percentile_approx("value", steps, 8 * ranges).alias("cuts")))
-    ranged = counts.join(cuts, "name").select(
-        "name", "value", "n", F.size(F.filter("cuts", lambda cut: cut <= F.col("value"))).alias("range")
+    steps = [i / RANGES for i in range(1, RANGES)]
+    cuts = counts.groupBy("name").agg(F.percentile_approx("value", steps, 8 * RANGES).alias("cuts"))
+    block_ends = F.transform(
+        F.sequence(F.lit(1), F.lit(RANGE_BLOCK - 1)), lambda k: F.element_at("cuts", k * RANGE_BLOCK)
     )
+    # One row per column of the table.
+    cuts = F.broadcast(cuts.withColumn("block_cuts", block_ends))
+    ranged = counts.join(cuts, "name").select("name", "value", "n", cuts_upto(F.col("value")).alias("range"))
     totals = ranged.groupBy("name", "range").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("name")
-    # At most `ranges` rows per column of the table.
+    # At most RANGES rows per column of the table.
     offsets = F.broadcast(
         totals.select(
             "name",

@@ -28,7 +28,13 @@ def write_flat_csv(variants: DataFrame, path: str) -> None:
 def write_flat_parquet(
     variants: DataFrame, path: str, partition_by: Sequence[str] = (), append: bool = False
 ) -> None:
-    """Variant table as snappy parquet; without `append`, partitions that get rows are replaced."""
+    """Variant table as snappy parquet; without `append`, partitions that get rows are replaced.
+
+    Rows of a partition are brought together so that small ones make one file, and AQE
+    splits those that are too large for one task.
+    """
+    if partition_by:
+        variants = variants.hint("rebalance", *[col(c) for c in partition_by])
     writer = variants.write.option("compression", "snappy").partitionBy(*partition_by)
     if append:
         writer.mode("append").parquet(path)
@@ -39,12 +45,8 @@ def write_flat_parquet(
 
 
 def write_cohort(calls: DataFrame, path: str) -> None:
-    """Long cohort partitioned by SAMPLE; writing a sample again replaces it.
-
-    Rows of a sample are brought together so that small samples make one file, and AQE
-    splits a sample that is too large for one task.
-    """
-    write_flat_parquet(calls.hint("rebalance", F.col("SAMPLE")), path, ["SAMPLE"])
+    """Long cohort partitioned by SAMPLE; writing a sample again replaces it."""
+    write_flat_parquet(calls, path, ["SAMPLE"])
 
 
 def write_cohort_by_chrom(table: DataFrame, path: str) -> None:

@@ -117,7 +117,7 @@ A1, A2 = base("l_orderkey + 1"), base("l_orderkey + 2")
 
 # Annotated records: every line item, with repeated variants and two-allele records.
 # Two records with equal ordinal and variant are equal in every column.
-RECORDS = f"""SELECT DISTINCT CONCAT('P', CAST(l_linenumber AS STRING), l_returnflag) AS sample,
+RECORDS = f"""SELECT CONCAT('P', CAST(l_linenumber AS STRING), l_returnflag) AS sample,
   (l_partkey * 10000000 + l_suppkey) * 64 + CAST(l_quantity AS BIGINT) AS ordinal,
   CONCAT('chr', CAST(l_orderkey % 22 + 1 AS STRING)) AS chrom,
   1000 + l_orderkey * 37 AS pos,
@@ -144,7 +144,7 @@ RECORDS = f"""SELECT DISTINCT CONCAT('P', CAST(l_linenumber AS STRING), l_return
   {annotation(1, A1)},
   {annotation(2, A2)},
   {annotation(3, A1)}
-FROM {{lineitem}}"""
+FROM (SELECT DISTINCT l_linenumber, l_returnflag, l_orderkey, l_partkey, l_suppkey, l_quantity FROM {{lineitem}}) b"""
 
 HEADER = Header(
     {
@@ -200,7 +200,7 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i in (1, 2, 3)
     ]
     info = (
-        "concat('AC=', ac, ';AC=', ac, ';', zigosity, ';VARTYPE=', vartype, ';dbSNPBuildID=', build,"
+        "concat(if(pmod(ordinal, 640) = 0, 'AC=.;', ''), 'AC=', ac, ';', zigosity, ';VARTYPE=', vartype, ';dbSNPBuildID=', build,"
         " ';1000Gp3_AF=', kg_af, ';ESP6500_MAF=', maf, ';ESP6500_PH=', ph, ';CLINVAR_CLNSIG=', clnsig,"
         f" if(annotated, concat(';ANN=', concat_ws(',', {', '.join(entries)})), ''))"
     )
