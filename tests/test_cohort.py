@@ -46,6 +46,15 @@ def test_labels(spark, cohort):
     assert rows(C.cohort_labels(cohort, ["GENE_NAME"]), "POS", "GENE_NAME") == [(1, "g1 | g2 | g9"), (2, "g2"), (3, "g3")]
 
 
+def test_table(spark, cohort):
+    expected = [
+        (1, "g1 | g2 | g9", 3, 3, 0.75, 0.375), (2, "g2", 1, 1, 0.25, 0.125), (3, "g3", 0, 0, 0.0, 0.0),
+    ]
+    columns = ["POS", "GENE_NAME", "N_CARRIERS", "N_ALLELES", "FREQ", "ALLELE_FREQ"]
+    assert rows(C.cohort_table(cohort), *columns) == expected
+    assert rows(C.cohort_table(cohort.filter("GENE_NAME <> 'g9'"), unique=True).filter("POS > 1"), *columns) == expected[1:]
+
+
 def test_matrix_round_trip(spark, cohort):
     called = cohort.filter("ZIGOSITY <> '.'")
     matrix = C.cohort_matrix(called, ["S1", "S2", "S3"])

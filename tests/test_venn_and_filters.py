@@ -48,6 +48,11 @@ def test_columns_are_reconciled(spark, trio):
     assert rows(merged, "POS", "RSID") == [(1, None), (2, "rs2"), (3, "rs3"), (4, "rs4"), (5, None)]
     lazy = V.compare_samples(trio, separate=["ZIGOSITY"])
     assert rows(lazy.select(merged.columns)) == rows(merged)
+    long = None
+    for name, df in trio.items():
+        part = df.withColumn("SAMPLE", F.lit(name))
+        long = part if long is None else long.unionByName(part)
+    assert rows(V.compare_long(long, list(trio)).select(merged.columns)) == rows(merged)
 
 
 def test_agreeing_columns_are_kept_once(spark):

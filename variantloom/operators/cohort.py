@@ -81,24 +81,47 @@ def merge_stats(*batches: DataFrame) -> DataFrame:
     )
 
 
-def cohort_labels(calls: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
-    """Per variant, the distinct labels over all samples, sorted and " | "-joined.
+def label_set(pieces: Column) -> Column:
+    """Distinct labels over rows that each hold an array; sets are merged map-side."""
+    return F.array_distinct(F.flatten(F.collect_set(pieces)))
 
-    Labels that are already joined (from an earlier cohort) are taken apart first.
-    Sets are merged map-side, so a hot variant sends one small set per task.
-    """
 
-    def joined(name: str) -> Column:
-        pieces = F.flatten(F.collect_set(F.split(col(name), r" \| ")))
-        return F.array_join(F.sort_array(F.array_distinct(pieces)), SEPARATOR).alias(name)
+def label_pieces(name: str) -> Column:
+    """Labels of a cell; those of an earlier cohort are already joined."""
+    return F.split(col(name), r" \| ")
+
 
-    return calls.groupBy(*KEY).agg(*[joined(c) for c in columns])
+def joined(labels: Column) -> Column:
+    return F.array_join(F.sort_array(labels), SEPARATOR)
+
+
+def cohort_labels(calls: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
+    """Per variant, the distinct labels over all samples, sorted and " | "-joined."""
+    return calls.groupBy(*KEY).agg(*[joined(label_set(label_pieces(c))).alias(c) for c in columns])
 
 
 def cohort_table(calls: DataFrame, unique: bool = False) -> DataFrame:
-    """Key, labels, ALLELE_FREQ and FREQ of every variant of the cohort."""
-    freqs = cohort_frequencies(calls, unique)
-    return cohort_labels(calls).join(freqs, KEY, "left")
+    """Key, labels, N_CARRIERS, N_ALLELES, FREQ and ALLELE_FREQ of every variant, in one pass.
+
+    Without `unique` the rows of a sample's variant are reduced to one first.
+    """
+    called = F.col("ZIGOSITY").isNotNull() & (F.col("ZIGOSITY") != MISSING)
+    rows = calls.select(
+        *KEY,
+        "SAMPLE",
+        F.when(called, L.dosage(F.col("ZIGOSITY"))).alias("_dosage"),
+        *[label_pieces(c).alias(c) for c in LABEL_COLUMNS],
+    )
+    if not unique:
+        rows = rows.groupBy(*KEY, "SAMPLE").agg(
+            F.max("_dosage").alias("_dosage"), *[label_set(col(c)).alias(c) for c in LABEL_COLUMNS]
+        )
+    table = rows.groupBy(*KEY).agg(
+        *[joined(label_set(col(c))).alias(c) for c in LABEL_COLUMNS],
+        F.count("_dosage").alias("N_CARRIERS"),
+        F.coalesce(F.sum("_dosage"), F.lit(0)).cast("bigint").alias("N_ALLELES"),
+    )
+    return with_frequencies(table, sample_count(calls))
 
 
 def cohort_matrix(calls: DataFrame, samples: Sequence[str]) -> DataFrame:

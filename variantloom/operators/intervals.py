@@ -6,6 +6,7 @@ The genome is cut into fixed bins, so no step gathers a whole chromosome in one
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ JOIN_BIN = 1 << 14
 
 
 def bin_of(position: Column, width: int) -> Column:
-    return F.floor(position / F.lit(width)).cast("bigint")
+    return F.call_function("div", position, F.lit(width))
 
 
 def depth_runs(
@@ -51,6 +52,8 @@ def depth_runs(
         .agg(F.sum("step").alias("step"), F.max("edge").alias("edge"))
         .filter("step <> 0 OR edge = 1")
         .withColumn("bin", bin_of(F.col("POS"), bin_width))
+        # The join below implies this for one side; said for both, they share one shuffle.
+        .filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*by, "bin"]]))
     )
     order = Window.partitionBy(*by).orderBy("bin")
     bins = (

@@ -98,7 +98,8 @@ def cuts_upto(value: Column) -> Column:
     """How many of the sorted `cuts` are at most `value`: look among every 16th, then within 16."""
     blocks = F.size(F.filter("block_cuts", lambda cut: cut <= value)) * RANGE_BLOCK
     inside = F.slice("cuts", blocks + 1, RANGE_BLOCK - 1)
-    return blocks + F.size(F.filter(inside, lambda cut: cut <= value))
+    # Never NULL; saying so spares a null check that would compute it twice.
+    return F.coalesce(blocks + F.size(F.filter(inside, lambda cut: cut <= value)), F.lit(0))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -118,23 +119,25 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         .agg(F.count(F.lit(1)).alias("n"))
     )
     steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = counts.groupBy("name").agg(F.percentile_approx("value", steps, 8 * RANGES).alias("cuts"))
+    cuts = counts.groupBy("name").agg(
+        F.percentile_approx("value", steps, 8 * RANGES).alias("cuts"), F.sum("n").alias("size")
+    )
     block_ends = F.transform(
         F.sequence(F.lit(1), F.lit(RANGE_BLOCK - 1)), lambda k: F.element_at("cuts", k * RANGE_BLOCK)
     )
     # One row per column of the table.
     cuts = F.broadcast(cuts.withColumn("block_cuts", block_ends))
-    ranged = counts.join(cuts, "name").select("name", "value", "n", cuts_upto(F.col("value")).alias("range"))
+    ranged = counts.join(cuts, "name").select(
+        "name", "value", "n", "size", cuts_upto(F.col("value")).alias("range")
+    )
     totals = ranged.groupBy("name", "range").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy("name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("name")
     # At most RANGES rows per column of the table.
     offsets = F.broadcast(
         totals.select(
             "name",
             "range",
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"),
-            F.sum("n").over(whole).alias("size"),
         )
     )
     within = Window.partitionBy("name", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)

@@ -46,34 +46,37 @@ def membership(calls: DataFrame, names: Sequence[str], sample: str = "SAMPLE") -
 
 
 def gather(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per variant with one struct per sample (`_s0`, `_s1`, ...), NULL when absent.
+    """One row per variant with one struct per sample (`_s0`, `_s1`, ...), NULL when absent."""
+    shapes = layout(tables)
+
+    def placed(name: str, df: DataFrame) -> DataFrame:
+        own = [
+            F.struct(*[col(c) for c in fields]) if other == name else F.lit(None).cast(struct_type)
+            for other, fields, struct_type in shapes
+        ]
+        return df.select(*KEY, *[value.alias(f"_s{i}") for i, value in enumerate(own)])
+
+    united = reduce(lambda a, b: a.unionByName(b), [placed(n, df) for n, df in tables.items()])
+    return one_row_per_variant(united, list(tables))
+
+
+def gather_long(variants: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same from one long table, read once."""
+    fields = F.struct(*[col(c) for c in compared_columns(variants)])
+    own = [F.when(F.col("SAMPLE") == name, fields).alias(f"_s{i}") for i, name in enumerate(names)]
+    return one_row_per_variant(variants.filter(F.col("SAMPLE").isin(list(names))).select(*KEY, *own), names)
+
+
+def one_row_per_variant(placed: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Group by variant, with map-side combine.
 
     Variants must be unique within a sample; a repeated one fails the job instead of
     losing rows.
     """
-    names = list(tables)
-    united = reduce(
-        lambda a, b: a.unionByName(b),
-        [
-            df.select(
-                *KEY,
-                *[
-                    (
-                        F.struct(*[col(c) for c in fields])
-                        if other == name
-                        else F.lit(None).cast(struct_type)
-                    ).alias(f"_s{i}")
-                    for i, (other, fields, struct_type) in enumerate(layout(tables))
-                ],
-            )
-            for name, df in tables.items()
-        ],
-    )
     parts: list[Column] = []
     for i in range(len(names)):
-        parts.append(F.max(f"_s{i}").alias(f"_s{i}"))
-        parts.append(F.count(f"_s{i}").alias(f"_n{i}"))
-    grouped = united.groupBy(*KEY).agg(*parts)
+        parts += [F.max(f"_s{i}").alias(f"_s{i}"), F.count(f"_s{i}").alias(f"_n{i}")]
+    grouped = placed.groupBy(*KEY).agg(*parts)
     checked = [
         F.when(
             F.col(f"_n{i}") > 1,
@@ -148,9 +151,23 @@ def compare_samples(
     so it costs one aggregate over the merged table, which is written to shared storage
     first. Pass `separate` (names to keep per sample) to stay lazy.
     """
-    names = list(tables)
-    gathered = gather(tables)
-    found = owners(tables)
+    return reconciled(gather(tables), list(tables), owners(tables), separate)
+
+
+def compare_long(
+    variants: DataFrame, names: Sequence[str], separate: Sequence[str] | None = None
+) -> DataFrame:
+    """`compare_samples` for the named samples of one long table, which is read once."""
+    found = {c: list(range(len(names))) for c in compared_columns(variants)}
+    return reconciled(gather_long(variants, names), names, found, separate)
+
+
+def reconciled(
+    gathered: DataFrame,
+    names: Sequence[str],
+    found: Mapping[str, list[int]],
+    separate: Sequence[str] | None,
+) -> DataFrame:
     undecided = {
         c: places for c, places in found.items() if len(places) > 1 and not is_variant_level(c)
     }
@@ -194,8 +211,7 @@ def venn_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     places = [(i, ":".join(region)) for i, region in enumerate(regions(names))]
     listing = df.sparkSession.createDataFrame(places, "region_order int, VENN string")
     counts = df.groupBy("VENN").agg(F.count(F.lit(1)).alias("variants"))
-    # The region list has 2^n - 1 rows for n compared samples.
-    return F.broadcast(listing).join(counts, "VENN", "left").select(
+    return listing.join(counts, "VENN", "left").select(
         "region_order", "VENN", F.coalesce("variants", F.lit(0)).alias("variants")
     )
 

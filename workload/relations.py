@@ -226,12 +226,16 @@ def header_text(sample: str) -> list[str]:
     return ["'##fileformat=VCFv4.1'", *defined, ann, columns]
 
 
-def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, pieces: int = 4) -> None:
+def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, pieces: int | None = None) -> None:
     """VCF text files below `path`: several files per sample, each with its header.
 
-    A variant's records stay in one file and in their order.
+    A variant's records stay in one file and in their order. The number of files grows
+    with the data unless `pieces` fixes it.
     """
-    lines = vcf_lines(spark, sf_dir).selectExpr(
+    text = vcf_lines(spark, sf_dir)
+    if pieces is None:
+        pieces = 4 + text.count() // 2_000_000
+    lines = text.selectExpr(
         "SAMPLE",
         f"pmod(hash(substring_index(line, '\\t', 2)), {pieces}) AS piece",
         "1 AS part",
