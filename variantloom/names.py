@@ -5,6 +5,9 @@ Everything below is a fixed value: results are only right with exactly these.
 
 KEY = ["CHROM", "POS", "REF", "ALT"]
 
+# The same with the number first: Spark sorts compare it before any text.
+SORT_KEY = ["POS", "CHROM", "REF", "ALT"]
+
 MISSING = "."
 
 # Effect terms from the most to the least severe (rank = position).

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from variantloom.functions import labels as L
 from variantloom.functions.labels import col
-from variantloom.names import KEY, MISSING
+from variantloom.names import KEY, MISSING, SORT_KEY
 from variantloom.session import BROADCAST_ROWS, is_small
 
 CALL_COLUMNS = ["SAMPLE", *KEY, "ZIGOSITY", "GENE_NAME", "HGVS.C", "HGVS.P"]
 LABEL_COLUMNS = ["GENE_NAME", "HGVS.C", "HGVS.P"]
+FREQUENCIES = ["VARDB_FREQ", "ALLELE_FREQ"]
 SEPARATOR = " | "
 
 
@@ -166,13 +167,14 @@ def of_report(table: DataFrame, report: DataFrame, max_broadcast_rows: int = BRO
 
 def annotate_frequencies(report: DataFrame, frequencies: DataFrame) -> DataFrame:
     """Left join of a report with the cohort: VARDB_FREQ and ALLELE_FREQ, to 6 places."""
-    old = [c for c in ("FREQ", "ALLELE_FREQ", "VARDB_FREQ") if c in report.columns]
+    kept = [c for c in report.columns if c not in ("FREQ", "ALLELE_FREQ", "VARDB_FREQ")]
     wanted = of_report(frequencies, report).select(
         *KEY,
         F.round(F.col("FREQ").cast("double"), 6).alias("VARDB_FREQ"),
         F.round(F.col("ALLELE_FREQ").cast("double"), 6).alias("ALLELE_FREQ"),
     )
-    return report.drop(*old).join(wanted, KEY, "left")
+    joined_rows = report.join(wanted.withColumnsRenamed({c: f"_{c}" for c in FREQUENCIES}), SORT_KEY, "left")
+    return joined_rows.select(*[col(c) for c in kept], *[col(f"_{c}").alias(c) for c in FREQUENCIES])
 
 
 def carriers(report: DataFrame, calls: DataFrame) -> DataFrame:
@@ -187,8 +189,8 @@ def carriers(report: DataFrame, calls: DataFrame) -> DataFrame:
         .groupBy(*KEY)
         .agg(F.sort_array(F.collect_set("SAMPLE")).alias("_names"))
     )
-    joined = report.select(*KEY).distinct().join(names, KEY, "left")
-    return joined.select(
+    listed = report.select(*KEY).distinct().join(names, SORT_KEY, "left")
+    return listed.select(
         *KEY,
         F.coalesce("_names", F.array().cast("array<string>")).alias("PATS_WITH_VARIANTS"),
     )

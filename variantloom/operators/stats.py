@@ -117,6 +117,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         .filter("value IS NOT NULL")
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        # Always true; it makes every use of the counts need them, so all share one shuffle.
+        .filter("n > 0")
     )
     steps = [i / RANGES for i in range(1, RANGES)]
     cuts = counts.groupBy("name").agg(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from variantloom.functions.labels import col
-from variantloom.names import KEY, SINGLE_SAMPLE_COLUMNS, VARIANT_LEVEL_MARKS
+from variantloom.names import KEY, SINGLE_SAMPLE_COLUMNS, SORT_KEY, VARIANT_LEVEL_MARKS
 from variantloom.session import written
 
 
@@ -76,7 +76,7 @@ def one_row_per_variant(placed: DataFrame, names: Sequence[str]) -> DataFrame:
     parts: list[Column] = []
     for i in range(len(names)):
         parts += [F.max(f"_s{i}").alias(f"_s{i}"), F.count(f"_s{i}").alias(f"_n{i}")]
-    grouped = placed.groupBy(*KEY).agg(*parts)
+    grouped = placed.groupBy(*SORT_KEY).agg(*parts)
     checked = [
         F.when(
             F.col(f"_n{i}") > 1,
@@ -218,9 +218,9 @@ def venn_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def shared_variants(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of `a` whose variant is also in `b`."""
-    return a.join(b.select(*KEY), KEY, "left_semi")
+    return a.join(b.select(*KEY), SORT_KEY, "left_semi")
 
 
 def own_variants(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of `a` whose variant is not in `b`."""
-    return a.join(b.select(*KEY), KEY, "left_anti")
+    return a.join(b.select(*KEY), SORT_KEY, "left_anti")

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from variantloom.functions.labels import quoted
+from variantloom.names import SORT_KEY
 from variantloom.operators import cohort as C
 from variantloom.operators.filters import panel_filter, text_filter
 from variantloom.operators.flatten import Ranks, flatten_vcf
@@ -22,7 +24,8 @@ def annotate_report(report: DataFrame, calls: DataFrame, with_carriers: bool = F
     """A report with cohort frequencies and, if asked, the carriers of each variant."""
     out = C.annotate_frequencies(report, C.cohort_frequencies(calls))
     if with_carriers:
-        out = out.join(C.carriers(report, calls), C.KEY, "left")
+        columns = [quoted(c) for c in out.columns]
+        out = out.join(C.carriers(report, calls), SORT_KEY, "left").select(*columns, "PATS_WITH_VARIANTS")
     return out
 
 
