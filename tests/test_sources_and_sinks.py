@@ -1,4 +1,5 @@
 import hashlib
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -106,6 +107,16 @@ def test_size_check(spark):
     assert "broadcast" not in small_side(df, 10)._jdf.queryExecution().analyzed().toString()
 
 
+def session_without_folder(master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master))
+
+
+def test_only_a_local_session_gets_its_own_folder():
+    assert scratch_path(session_without_folder("local[8]"), "x").startswith("/tmp/run-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session_without_folder("yarn"), "x")
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared) and scratch_path(spark, "x") != scratch_path(spark, "x")

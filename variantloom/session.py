@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,11 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+@cache
+def own_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the cluster names in spark.checkpoint.dir.
 
@@ -23,8 +28,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = own_folder()
     return f"{base.rstrip('/')}/variantloom/{name}-{uuid.uuid4().hex}"
 
 
