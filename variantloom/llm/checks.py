@@ -30,7 +30,7 @@ f AS (SELECT *, len(ws) AS n,
         OR {_count('l', '[#*$%&|<>]')} * 100 > len(ws) * 50
         OR ({_count('l', '[|•»›]')} >= 3 AND {_count('l', '[|•»›]')} * 100 > len(ws) * 25)
         OR ({_count('l', '!')} >= 3 AND {_count('l', '!')} * 100 > len(ws) * 50)
-        OR (len(ws) >= 10 AND len(list_distinct({WORDS.format(text=LOWER.format(text='l'))})) * 100 < len(ws) * 20) AS bad
+        OR (len(ws) >= 10 AND len(list_distinct(ws)) * 100 < len(ws) * 20) AS bad
       FROM l),
 s AS (SELECT r, count(*) AS n_lines, count(*) FILTER (nth > 1) AS n_dup_lines, count(*) FILTER (NOT bad) AS n_kept_lines,
         coalesce(sum(length(array_to_string(ws, ''))) FILTER (NOT bad), 0) AS kept_chars FROM f GROUP BY r),
@@ -81,3 +81,17 @@ p AS (SELECT doc_id, size, source_size, target, rate, row_number() OVER (PARTITI
 SELECT doc_id, size, source_size, round(target, 6) AS target,
   CAST((floor(rate) + floor((rate - floor(rate)) * (place + 1) + 0.5) - floor((rate - floor(rate)) * place + 0.5)) * size AS BIGINT) AS taken
 FROM p"""
+
+# Pairs share a shingle; components by the smallest id that spreads along the links.
+JACCARD_GROUPS = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(text=LOWER.format(text="text"))} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE [concat_ws(' ', w[i], w[i + 1], w[i + 2]) FOR i IN range(1, len(w) - 1)] END) AS g FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id"""

@@ -41,65 +41,62 @@ class Limits:
     base_repeat_percent: int = 50
 
 
-def with_word(line: Column) -> Column:
-    return line.rlike(r"[^\x20\x09-\x0D]")
-
-
 def measured(line: Column) -> Column:
-    """A line with the word counts that its rules need, taken once."""
-    count = F.size(word_array(line))
-    different = F.size(F.array_distinct(word_array(lower_ascii(line))))
-    return F.struct(line.alias("line"), count.alias("count"), different.alias("different"))
+    """A line with its words, split once for all rules."""
+    return F.struct(line.alias("line"), word_array(line).alias("words"))
 
 
 def failed_rule(x: Column, limits: Limits) -> Column:
     """Whether a measured line fails a rule. Lines without a word never do."""
-    line, count = x["line"], x["count"]
-    furniture = lower_ascii(line).rlike("|".join(BOILERPLATE))
-    boilerplate = (count <= limits.boilerplate_words) & furniture
+    line, count = x["line"], F.size(x["words"])
+    furniture = (count <= limits.boilerplate_words) & lower_ascii(line).rlike("|".join(BOILERPLATE))
+    # Most lines hold none of the characters that the next three rules count.
+    marked = line.rlike("[#*$%&|<>•»›!]")
     symbols = F.regexp_count(line, F.lit(SYMBOLS)) * 100 > count * limits.symbol_percent
     marks = F.regexp_count(line, F.lit("[|•»›]"))
     menu = (marks >= limits.separators) & (marks * 100 > count * limits.separator_percent)
     calls = F.regexp_count(line, F.lit("!"))
     shouted = (calls >= 3) & (calls * 100 > count * limits.shouted_percent)
-    dull = (count >= limits.repeat_words) & (x["different"] * 100 < count * limits.distinct_percent)
-    return boilerplate | symbols | menu | shouted | dull
-
+    different = F.size(F.array_distinct(x["words"]))
+    dull = (count >= limits.repeat_words) & (different * 100 < count * limits.distinct_percent)
+    return furniture | (marked & (symbols | menu | shouted)) | dull
 
-def repeat_words(words: Column) -> Column:
-    """Words inside three-word windows that occur at least twice in the text.
 
-    Windows are sorted with their positions, so equal ones are neighbours; the sorted positions of
-    those that repeat each cover three words, less what the next one covers too.
-    """
-    size = F.size(words)
-    n = F.greatest(size - 2, F.lit(0))
-    windows = F.arrays_zip(
+def windows(words: Column) -> Column:
+    """Windows of three words with their places, sorted by the words; NULL for fewer than two windows."""
+    n = F.size(words) - 2
+    zipped = F.arrays_zip(
         F.slice(words, F.lit(1), n).alias("a"),
         F.slice(words, F.lit(2), n).alias("b"),
         F.slice(words, F.lit(3), n).alias("c"),
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")).alias("at"),
+        F.sequence(F.lit(0), n - 1).alias("at"),
     )
-    return F.when(size < 4, F.lit(0)).otherwise(covered(F.sort_array(windows)))
+    return F.when(n > 1, F.sort_array(zipped))
+
 
+def repeat_words(ordered: Column) -> Column:
+    """Words inside windows that occur at least twice, from the sorted windows (a stored column).
 
-def covered(ordered: Column) -> Column:
-    """Words covered by those windows of a sorted array that equal a neighbour."""
+    Equal windows are neighbours; the sorted places of those that repeat each add three words, less
+    what the one before covers already.
+    """
     n = F.size(ordered)
 
     def equal(x: Column, y: Column) -> Column:
-        return (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+        return (x["c"] == y["c"]) & (x["a"] == y["a"]) & (x["b"] == y["b"])
 
-    # For each window but the last: whether it equals the next one.
-    pairs = F.zip_with(F.slice(ordered, F.lit(1), n - 1), F.slice(ordered, F.lit(2), n - 1), lambda x, y: F.when(
-        equal(x, y), F.array(x["at"], y["at"])))
-    places = F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))
+    equal_places = F.zip_with(
+        F.slice(ordered, F.lit(1), n - 1),
+        F.slice(ordered, F.lit(2), n - 1),
+        lambda x, y: F.when(equal(x, y), F.array(x["at"], y["at"])),
+    )
+    places = F.sort_array(F.array_distinct(F.flatten(F.filter(equal_places, lambda p: p.isNotNull()))))
     state = F.aggregate(
         places,
         F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(-3).alias("last")),
         lambda s, at: F.struct((s["sum"] + F.least(F.lit(3), at - s["last"])).alias("sum"), at.alias("last")),
     )
-    return state["sum"]
+    return F.coalesce(state["sum"], F.lit(0).cast("bigint"))
 
 
 def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -110,26 +107,26 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     have any name. `clean_text` is NULL where the document is rejected.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), word_array(text).alias("words"))
-    lines = F.filter(F.split("text", "\n"), with_word)
+    lines = F.filter(F.transform(F.split(text, "\n"), measured), lambda x: F.size(x["words"]) > 0)
+    rows = docs.select("doc_id", text.alias("text"), lines.alias("lines"))
+    # Words never span lines, so the text's words are those of its lines.
+    rows = rows.select("*", F.flatten("lines.words").alias("words"))
+    good = F.filter(F.col("lines"), lambda x: ~failed_rule(x, limits))
     rows = rows.select(
-        "doc_id", "text",
+        "doc_id",
         F.size("words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
-        repeat_words(F.col("words")).cast("bigint").alias("n_repeat_words"),
-        lines.alias("lines"),
-    )
-    measures = F.transform(F.col("lines"), measured)
-    good = F.transform(F.filter(measures, lambda x: ~failed_rule(x, limits)), lambda x: x["line"])
-    rows = rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_repeat_words",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines.line"))).cast("bigint").alias("n_dup_lines"),
         F.size("lines").cast("bigint").alias("n_lines"),
+        windows(F.col("words")).alias("_ordered"),
         good.alias("_good"),
     )
-    left = F.char_length(F.regexp_replace(F.array_join("_good", ""), r"[\x20\x09-\x0D]+", ""))
-    rows = rows.withColumn("kept_chars", left.cast("bigint"))
+    rows = rows.select(
+        "*",
+        repeat_words(F.col("_ordered")).alias("n_repeat_words"),
+        F.char_length(F.array_join(F.flatten("_good.words"), "")).cast("bigint").alias("kept_chars"),
+    )
     base_failed = (F.col("n_words") < limits.base_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * limits.base_repeat_percent
     )
@@ -138,5 +135,5 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lines", F.size("_good").cast("bigint").alias("n_kept_lines"), "kept_chars",
-        F.when(F.col("kept"), F.array_join("_good", "\n")).alias("clean_text"),
+        F.when(F.col("kept"), F.array_join("_good.line", "\n")).alias("clean_text"),
     )

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantloom.llm import checks
+from variantloom.llm.jaccard_join import jaccard_components
 from variantloom.llm.mixing import mixed
+from variantloom.llm.quality_classifier import quality_scores
 from variantloom.llm.quality_rules import judged
 from variantloom.llm.registry import query, table
 from variantloom.llm.sharding import jump_hash, shard_slots
@@ -48,3 +50,13 @@ def entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("copies") * F.col("size")).cast("bigint").alias("taken")
     )
+
+
+@query("op5_qda_quality")
+def qda_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_jaccard_groups", checks.JACCARD_GROUPS)
+def jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
