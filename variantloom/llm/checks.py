@@ -95,3 +95,14 @@ r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM
 c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.node = d.doc_id"""
+
+_KEY = LOWER.format(text="trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")
+LINE_DEDUP = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, i, ls[i] AS l FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+k AS (SELECT *, {_KEY} AS k FROM l),
+c AS (SELECT k, max(doc_id) AS keeper FROM k WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+x AS (SELECT k.*, c.k IS NOT NULL AND doc_id <> keeper AS dropped FROM k LEFT JOIN c USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM x GROUP BY r, doc_id"""

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantloom.llm import checks
+from variantloom.llm.decontamination import contaminated
 from variantloom.llm.jaccard_join import jaccard_components
+from variantloom.llm.line_dedup import deduplicated
 from variantloom.llm.mixing import mixed
 from variantloom.llm.quality_classifier import quality_scores
 from variantloom.llm.quality_rules import judged
@@ -60,3 +62,16 @@ def qda_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_jaccard_groups", checks.JACCARD_GROUPS)
 def jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+@query("op1_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_line_dedup", checks.LINE_DEDUP)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_dropped").cast("bigint").alias("n_dropped"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
