@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantloom.llm import checks
+from variantloom.llm.class_lm import lm_scores
 from variantloom.llm.decontamination import contaminated
 from variantloom.llm.jaccard_join import jaccard_components
 from variantloom.llm.line_dedup import deduplicated
@@ -75,3 +76,8 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_dropped").cast("bigint").alias("n_dropped"),
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query("op6_class_lm")
+def class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
