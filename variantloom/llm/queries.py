@@ -15,6 +15,7 @@ from variantloom.llm.quality_classifier import quality_scores
 from variantloom.llm.quality_rules import judged
 from variantloom.llm.registry import query, table
 from variantloom.llm.sharding import jump_hash, shard_slots
+from variantloom.llm.substring_dedup import repeated_passages
 from variantloom.llm.text import word_array
 from variantloom.session import written
 
@@ -81,3 +82,8 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_class_lm")
 def class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op2_repeated_passages")
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
