@@ -9,6 +9,7 @@ from variantloom.llm import checks
 from variantloom.llm.class_lm import lm_scores
 from variantloom.llm.decontamination import contaminated
 from variantloom.llm.jaccard_join import jaccard_components
+from variantloom.llm.license_scan import licence_paragraphs
 from variantloom.llm.line_dedup import deduplicated
 from variantloom.llm.mixing import mixed
 from variantloom.llm.quality_classifier import quality_scores
@@ -87,3 +88,8 @@ def class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_repeated_passages")
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op10_licences")
+def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_paragraphs(table(spark, sf_dir, "documents"))
