@@ -176,15 +176,17 @@ def linked_groups(texts: DataFrame, rows: DataFrame, equal: DataFrame, level, n:
     often = prefixes.groupBy("token").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo <> _hi")
     shared = written(prefixes.join(often.select("token"), "token").select("token", "id", "n"), "prefixes")
 
-    wanted = written(shared.select("id").distinct(), "wanted")
-    sets = present.join(small_side(wanted), F.col("doc_id") == F.col("id"), "left_semi")
-    sets = written(sets.mapInArrow(lambda b: set_rows(b, n), "id bigint, tokens array<bigint>"), "tokens")
+    # The prefixes of different sets, as one array each: a tenth or a fifth of the whole sets.
+    prefix = written(shared.groupBy("id").agg(F.max("n").alias("n"), F.collect_set("token").alias("prefix")), "prefixes")
 
-    found = verified(nearest(shared, percent), sets, percent)
+    def checked(pairs: DataFrame) -> DataFrame:
+        return verified(written(plausible(pairs, prefix, percent), "pairs"), present, n, percent)
+
+    found = checked(nearest(shared, percent))
     groups = written(components(found), "groups")
-    member = shared.select("id", "n").distinct().join(groups, F.col("id") == F.col("node"), "left")
+    member = prefix.select("id", "n").join(groups, F.col("id") == F.col("node"), "left")
     member = written(member.select("id", "n", F.coalesce("component", "id").alias("group")), "members")
-    more = verified(opened(shared, member, percent), sets, percent)
+    more = checked(opened(shared, member, percent))
     # Links between groups join whole groups.
     group_of = member.select("id", "group").distinct()
     between = (
@@ -234,8 +236,21 @@ def opened(shared: DataFrame, member: DataFrame, percent: int) -> DataFrame:
     return open_groups.join(members, "group").filter(sizes_fit(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar."""
+def plausible(pairs: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes share enough: the set whose prefix ends first has all its shared prefix
+    tokens in the other's prefix, so no more can be shared than these and what lies behind it."""
+    a = prefix.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
+    b = prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
+    both = pairs.join(a, "a").join(b, "b").filter(sizes_fit(F.col("na"), F.col("nb"), percent))
+    least = needed(F.col("na"), F.col("nb"), percent) - F.greatest(rest(F.col("na"), percent), rest(F.col("nb"), percent))
+    return both.filter(F.size(F.array_intersect("pa", "pb")) >= least).select("a", "b")
+
+
+def verified(pairs: DataFrame, present: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar; only the texts of `pairs` (written) are read for it."""
+    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+    texts = present.join(small_side(wanted), F.col("doc_id") == F.col("id"), "left_semi")
+    sets = written(texts.mapInArrow(lambda b: set_rows(b, n), "id bigint, tokens array<bigint>"), "tokens")
     a = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(a, "a").join(b, "b")
