@@ -26,7 +26,7 @@ from variantloom.session import small_side, written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Counters of the sketch that tells frequent shingles from rare ones: the model's fixed size.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 22
 
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -47,7 +47,7 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
 
 def set_hashes(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Per text its set's size and 128-bit hash; at the end the task's frequent counters."""
-    counters = np.zeros(COUNTERS, dtype=np.int64)
+    counters = np.zeros(COUNTERS, dtype=np.int32)
     names = ["doc_id", "n", "s1", "s2", "counter", "count"]
     for batch in batches:
         for piece in T.pieces(batch, "text"):
@@ -57,7 +57,8 @@ def set_hashes(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordB
                 s1 = np.array([T.seeded(s, 1).sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
                 s2 = np.array([T.seeded(s, 2).sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
             every = np.concatenate(sets) if rows else np.zeros(0, dtype=np.uint64)
-            counters += np.bincount((every % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            at, times = np.unique((every % np.uint64(COUNTERS)).astype(np.int64), return_counts=True)
+            counters[at] += times.astype(np.int32)
             arrays = [
                 piece.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(T.signed(s1)), pa.array(T.signed(s2)),
                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()),
@@ -65,7 +66,7 @@ def set_hashes(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays(arrays, names=names)
     at = np.flatnonzero(counters >= max(2, 2 + 2 * counters.mean()))
     for part in np.array_split(at, len(at) // 50_000 + 1):
-        arrays = [pa.nulls(len(part), pa.int64())] * 4 + [pa.array(part.astype(np.int32)), pa.array(counters[part])]
+        arrays = [pa.nulls(len(part), pa.int64())] * 4 + [pa.array(part.astype(np.int32)), pa.array(counters[part].astype(np.int64))]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
@@ -75,9 +76,10 @@ def levels(counts: DataFrame) -> np.ndarray:
     It only orders the shingles. Whatever it holds, the join is exact; rarer prefixes make it faster.
     """
     out = np.zeros(COUNTERS, dtype=np.uint8)
-    sums = counts.filter("counter IS NOT NULL").groupBy("counter").agg(F.sum("count").alias("count")).filter("count >= 16")
-    for row in sums.toLocalIterator():
-        out[row["counter"]] = row["count"].bit_length() - 4
+    sums = counts.filter("counter IS NOT NULL").groupBy("counter").agg(F.sum("count").alias("count")).filter("count >= 4")
+    # At most one row a counter.
+    table = sums.select("counter", F.least(F.floor(F.log2("count")) - 1, F.lit(63)).cast("int").alias("level")).toArrow()
+    out[table["counter"].to_numpy()] = table["level"].to_numpy()
     return out
 
 
