@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantloom.functions import labels as L
-from variantloom.functions.labels import col, quoted
+from variantloom.functions.labels import col, quoted, text_literal
 from variantloom.names import (
     KEY,
     PER_ALLELE_COLUMNS,
@@ -61,18 +61,28 @@ def split_multiallelic(
     return exploded.selectExpr(*out, "RAW_ALT", "ALLELE_INDEX")
 
 
-def annotation_fields(parts: str, ann_fields: Sequence[str]) -> list[str]:
-    """SQL for the named fields of a split annotation entry."""
+def annotation_fields(parts: str, ann_fields: Sequence[str], layout: bool = False) -> list[str]:
+    """SQL for the named fields of a split annotation entry; with `layout`, by the row's own `_layout`."""
+    if layout:
+        fixed = [f"coalesce(array_position(_layout, {text_literal(name)}) - 1, {i})" for i, name in enumerate(ann_fields)]
+        own = [f"CAST({at} AS INT)" for at in fixed]
+        return [f"CASE WHEN {at} >= 0 THEN nullif(get({parts}, {at}), '') END AS {quoted(name)}" for at, name in zip(own, ann_fields)]
     return [f"nullif(get({parts}, {i}), '') AS {quoted(name)}" for i, name in enumerate(ann_fields)]
 
 
 def explode_annotations(df: DataFrame, ann_fields: Sequence[str]) -> DataFrame:
-    """One row per annotation of a record, named columns; records without annotation drop out."""
+    """One row per annotation of a record, named columns; records without annotation drop out.
+
+    Where a column `_annotated` says that a file has no annotations at all, its records stay.
+    """
     rest = [quoted(c) for c in df.columns if c != "ANN"]
-    exploded = df.select(*rest, F.posexplode(F.split("ANN", ",")).alias("ANN_INDEX", "_entry"))
+    entries = F.split("ANN", ",")
+    if "_annotated" in df.columns:
+        entries = F.when(F.col("_annotated"), entries).otherwise(F.array(F.lit(None).cast("string")))
+    exploded = df.select(*rest, F.posexplode(entries).alias("ANN_INDEX", "_entry"))
     kept = [quoted(c) for c in exploded.columns if c != "_entry"]
     parts = exploded.select(*kept, F.split("_entry", r"\|").alias("_parts"))
-    return parts.selectExpr(*kept, *annotation_fields("_parts", ann_fields))
+    return parts.selectExpr(*kept, *annotation_fields("_parts", ann_fields, "_layout" in df.columns))
 
 
 def best_annotation(df: DataFrame, ann_fields: Sequence[str], ranks: Ranks | None = None) -> DataFrame:
@@ -106,7 +116,7 @@ def best_annotation(df: DataFrame, ann_fields: Sequence[str], ranks: Ranks | Non
     parts = chosen.select(
         *kept, F.col("_best.order").alias("_severity"), F.split("_best.entry", r"\|").alias("_parts")
     )
-    return parts.selectExpr(*kept, "_severity", *annotation_fields("_parts", ann_fields))
+    return parts.selectExpr(*kept, "_severity", *annotation_fields("_parts", ann_fields, "_layout" in df.columns))
 
 
 def prioritize(
@@ -176,6 +186,8 @@ def flatten_records(
 
     `prioritized` keeps one annotation per variant (a mapping replaces the default ranks).
     The annotation is picked inside each record first, so only narrow rows are shuffled.
+    Whether records are annotated is decided by file (column `_annotated`): within an annotated file
+    those without annotation drop out; all records of other files stay, with NULL annotation fields.
     """
     annotated = "ANN" in records.columns
     ranks = prioritized if isinstance(prioritized, Mapping) else None
@@ -183,16 +195,19 @@ def flatten_records(
     if annotated and prioritized:
         rows = best_annotation(rows, header.ann_fields, ranks)
     rows = dedupe_variants(rows, [*scope, "CHROM", "POS", "REF", "RAW_ALT", "ALLELE_INDEX"])
-    if prioritized:
-        order = []
-        if annotated:
-            # Dropped only here: below the window the test would parse every line twice.
-            rows = rows.filter(F.col("_severity").isNotNull())
-            order = [F.col("_severity").asc()]
-        rows = first_per_key(rows, [*scope, *KEY], *order, F.col("ordinal").asc(), F.col("ALLELE_INDEX").asc())
+    if prioritized and annotated:
+        by = [*scope, *KEY]
+        kept = F.col("_severity").isNotNull()
+        if "_annotated" in rows.columns:
+            # A record of a file without annotations is a group of its own.
+            rows = rows.withColumn("_own", F.when(~F.col("_annotated"), F.struct("ordinal", "ALLELE_INDEX")))
+            kept, by = kept | ~F.col("_annotated"), [*by, "_own"]
+        # Dropped only here: below the window the test would parse every line twice.
+        rows = rows.filter(kept)
+        rows = first_per_key(rows, by, F.col("_severity").asc(), F.col("ordinal").asc(), F.col("ALLELE_INDEX").asc())
     elif annotated:
         rows = explode_annotations(rows, header.ann_fields)
-    helpers = {"file", "ordinal", "RAW_ALT", "ALLELE_INDEX", "ANN_INDEX", "_severity", *scope} - {"SAMPLE"}
+    helpers = {"file", "ordinal", "RAW_ALT", "ALLELE_INDEX", "ANN_INDEX", "_severity", "_annotated", "_layout", "_own", *scope} - {"SAMPLE"}
     return standardize(rows.drop(*helpers), header.types)
 
 

@@ -17,7 +17,8 @@ from variantloom.operators.venn import compare_samples, venn_place
 from variantloom.sources import sinks
 from variantloom.sources.files import list_files, select_sample_files
 from variantloom.sources.tables import read_cohort_parquet, read_panel
-from variantloom.sources.vcf import Header
+from variantloom.session import written
+from variantloom.sources.vcf import Header, header_lines, read_lines, sample_names
 
 
 def annotate_report(report: DataFrame, calls: DataFrame, with_carriers: bool = False) -> DataFrame:
@@ -62,13 +63,19 @@ def sample_tables(variants: DataFrame, names: Sequence[str]) -> dict[str, DataFr
 def read_samples(
     spark: SparkSession, paths: Sequence[str], prioritized: bool | Ranks = True, header: Header | None = None
 ) -> dict[str, DataFrame]:
-    """One variant table per VCF file, in the given order, keyed by sample."""
-    tables: dict[str, DataFrame] = {}
+    """One variant table per VCF file, in the given order, keyed by sample; all files are read together.
+
+    Names come from the headers. Two files with one sample name are an error, not one table.
+    """
+    named: dict[str, str] = {}
     for path in paths:
-        table = flatten_vcf(spark, path, prioritized, header)
-        name = table.select("SAMPLE").first()
-        tables[name["SAMPLE"] if name else path] = table.drop("SAMPLE")
-    return tables
+        found = sample_names(header_lines(read_lines(spark, path))).select("SAMPLE").distinct().limit(2).collect()
+        name = found[0]["SAMPLE"] if found else path.rsplit("/", 1)[-1]
+        if len(found) > 1 or name in named:
+            raise ValueError(f"{path}: one file per sample is needed, {name} comes twice")
+        named[name] = path
+    variants = written(flatten_vcf(spark, list(paths), prioritized, header), "samples")
+    return sample_tables(variants, list(named))
 
 
 def single_report(
@@ -118,10 +125,9 @@ def parse_vcf(
 
 
 def cohort_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except Exception:
-        return False
+    """Whether the folder is there; a cohort that cannot be read is an error where it is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def build_cohort(

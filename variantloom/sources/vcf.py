@@ -34,6 +34,19 @@ class Header:
     ann_fields: list[str] = field(default_factory=lambda: list(ANN_FIELDS))
 
 
+def widest(one: str, other: str) -> str:
+    """The declared type that holds the values of both."""
+    if one == other:
+        return one
+    return "Float" if {one, other} == {"Integer", "Float"} else "String"
+
+
+def listed_fields(description: str) -> list[str]:
+    """Field names that an ANN definition lists after its colon."""
+    listing = description.split(":", 1)[-1].strip(" '\"")
+    return [name.strip(" '\"") for name in listing.split("|")]
+
+
 def read_lines(
     spark: SparkSession, paths: str | Sequence[str], recursive: bool = False, glob: str = "*.vcf*"
 ) -> DataFrame:
@@ -112,17 +125,39 @@ def contig_lengths(lines: DataFrame) -> DataFrame:
     )
 
 
-def load_header(lines: DataFrame) -> Header:
-    """Collect the distinct INFO definitions (a few hundred rows) to fix the column names."""
+def load_header(lines: DataFrame, seen: Iterable[str] = ()) -> Header:
+    """Collect the distinct INFO definitions (a few hundred rows) to fix the column names.
+
+    Files that disagree about a type get the widest; ANN fields are those of all layouts. Ids that
+    are `seen` in records but declared nowhere are texts.
+    """
     rows = info_definitions(lines).orderBy("id", "type", "description").collect()
     types: dict[str, str] = {}
-    fields = list(ANN_FIELDS)
+    fields: list[str] = []
     for row in rows:
-        types.setdefault(row["id"], row["type"])
+        types[row["id"]] = widest(types.get(row["id"], row["type"]), row["type"])
         if row["id"] == "ANN" and "|" in row["description"]:
-            listing = row["description"].split(":", 1)[-1].strip(" '\"")
-            fields = [name.strip(" '\"") for name in listing.split("|")]
-    return Header(types, fields)
+            fields += [name for name in listed_fields(row["description"]) if name not in fields]
+    for name in sorted(set(seen) - set(types)):
+        types[name] = "String"
+    return Header(types, fields or list(ANN_FIELDS))
+
+
+def annotation_layouts(lines: DataFrame) -> DataFrame:
+    """file, layout: the ANN field names of each file that lists them."""
+    text = F.regexp_extract("line", r'Description="(.*)"', 1)
+    listed = F.trim(F.substring(text, F.locate(":", text) + 1, F.length(text)), F.lit(" '\""))
+    names = F.transform(F.split(listed, r"\|"), lambda name: F.trim(name, F.lit(" '\"")))
+    defined = lines.filter(F.col("line").rlike("^##INFO=<(.*,)?ID=ANN[,>]") & text.contains("|"))
+    return defined.groupBy("file").agg(F.max(names).alias("layout"))
+
+
+def info_keys(lines: DataFrame) -> DataFrame:
+    """file, id: the INFO keys that the records of each file hold; one pass over the text."""
+    records = lines.filter(~F.col("line").startswith("#") & (F.col("line") != ""))
+    info = records.select("file", F.get(F.split("line", "\t", 9), F.lit(7)).alias("info"))
+    keys = F.transform(F.split("info", ";"), lambda item: F.substring_index(item, "=", 1))
+    return info.select("file", F.explode(F.array_distinct(keys)).alias("id")).filter(~F.col("id").isin("", MISSING)).distinct()
 
 
 def sample_names(lines: DataFrame) -> DataFrame:
@@ -186,12 +221,22 @@ def parse_records(lines: DataFrame, info_ids: Iterable[str]) -> DataFrame:
     return fixed.selectExpr(*[quoted(c) for c in fixed.columns if c != "_info"], *ids)
 
 
-def with_samples(lines: DataFrame, headers: DataFrame) -> DataFrame:
-    """Add the SAMPLE of its file to every line."""
-    named = lines.join(small_side(sample_names(headers)), "file", "left")
-    return named.withColumn(
-        "SAMPLE", F.coalesce("SAMPLE", F.element_at(F.split("file", "/"), -1))
-    )
+def with_samples(lines: DataFrame, headers: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Add to every line the SAMPLE of its file and, from the keys `seen`, whether the file has annotations.
+
+    Files whose ANN fields are laid out differently also bring their layout along.
+    """
+    named = sample_names(headers)
+    if seen is not None:
+        found = seen.filter("id = 'ANN'").select("file", F.lit(True).alias("_annotated"))
+        named = named.join(found, "file", "full").withColumn("_annotated", F.coalesce("_annotated", F.lit(False)))
+        layouts = annotation_layouts(headers)
+        if layouts.select("layout").distinct().limit(2).count() > 1:
+            named = named.join(layouts.withColumnRenamed("layout", "_layout"), "file", "left")
+    out = lines.join(small_side(named), "file", "left")
+    if seen is not None:
+        out = out.withColumn("_annotated", F.coalesce("_annotated", F.lit(False)))
+    return out.withColumn("SAMPLE", F.coalesce("SAMPLE", F.element_at(F.split("file", "/"), -1)))
 
 
 def read_vcf(
@@ -203,10 +248,11 @@ def read_vcf(
 ) -> tuple[DataFrame, Header]:
     """Records of one or many VCF files, one row per record, with their SAMPLE.
 
-    The text is read once; headers are read from the start of each file. Pass known
-    definitions as `header` to keep only the wanted INFO ids.
+    Headers are read from the start of each file; a first pass over the text finds the INFO keys of
+    every file, declared or not. Pass known definitions as `header` to keep only the wanted INFO ids.
     """
     lines = read_lines(spark, paths, recursive, glob)
     headers = written(header_lines(lines), "headers")
-    header = header or load_header(headers)
-    return parse_records(with_samples(lines, headers), list(header.types)), header
+    seen = written(info_keys(lines), "keys")
+    header = header or load_header(headers, [row["id"] for row in seen.select("id").distinct().collect()])
+    return parse_records(with_samples(lines, headers, seen), list(header.types)), header
