@@ -120,3 +120,32 @@ def test_stream_ingests_each_file_once(spark, tmp_path):
     query.awaitTermination()
     assert query.lastProgress["numInputRows"] < 30
     assert rows(T.read_cohort_parquet(spark, cohort), "SAMPLE", "POS") == [("S1", 1), ("S2", 2), ("S3", 3)]
+
+
+def test_later_files_of_a_sample_add_to_it(spark, tmp_path):
+    folder, cohort, checkpoint = tmp_path / "in", str(tmp_path / "cohort"), str(tmp_path / "checkpoint")
+    folder.mkdir()
+    first = write(folder / "a.vcf", "S1", one_record(1))
+    header = load_header(header_lines(read_lines(spark, first)))
+    stream_cohort(spark, str(folder), cohort, checkpoint, header).awaitTermination()
+    write(folder / "b.vcf", "S1", one_record(9))
+    stream_cohort(spark, str(folder), cohort, checkpoint, header).awaitTermination()
+    assert rows(T.read_cohort_parquet(spark, cohort), "SAMPLE", "POS") == [("S1", 1), ("S1", 9)]
+    # All files once more: every part is replaced by itself.
+    stream_cohort(spark, str(folder), cohort, checkpoint + "-again", header).awaitTermination()
+    assert rows(T.read_cohort_parquet(spark, cohort), "SAMPLE", "POS") == [("S1", 1), ("S1", 9)]
+
+
+def test_samples_without_variants_count_and_headers_name_samples(spark, tmp_path):
+    folder, cohort = tmp_path / "in", str(tmp_path / "cohort")
+    folder.mkdir()
+    write(folder / "file1.final.vcf", "S1", one_record(1))
+    write(folder / "file2.final.vcf", "S2", [])
+    write(folder / "other.final.vcf", "S1_done", one_record(2))
+    assert J.build_cohort(spark, str(folder), cohort, "_done") == 2
+    assert rows(T.read_cohort_parquet(spark, cohort), "SAMPLE", "POS") == [("S1_done", 2)]
+    assert J.cohort_size(spark, cohort) == 2
+    assert J.build_cohort(spark, str(folder), cohort, "_done") == 0
+    report = spark.createDataFrame([("chr1", 2, "A", "G")], "CHROM string, POS bigint, REF string, ALT string")
+    out = J.annotate_report(report, T.read_cohort_parquet(spark, cohort), n_samples=J.cohort_size(spark, cohort))
+    assert rows(out, "VARDB_FREQ", "ALLELE_FREQ") == [(0.5, 0.25)]

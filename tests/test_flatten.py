@@ -192,3 +192,39 @@ def test_known_samples(spark):
     }
     panel = spark.createDataFrame([("LINC00115",), ("SAMD11",), ("KLHL17",)], "GeneSymbol string")
     assert J.single(tables["TEST"], panel).count() == 16
+
+
+def mixed_files(folder):
+    """An annotated file, one that declares ANN but has none, one without ANN and with other definitions."""
+    write_vcf(folder / "a.vcf", "A", HEADER, [record(1, "A", "G", "AC=1;HET;ANN=" + ann("G", "intron_variant", "GA")), record(2, "A", "G", "AC=1")])
+    write_vcf(folder / "b.vcf", "B", HEADER, [record(1, "A", "G", "AC=1;NEWKEY=7"), record(3, "A", "C,G", "AC=3,4"), record(3, "A", "G", "AC=5")])
+    other = [HEADER[0], '##INFO=<ID=AC,Number=A,Type=String,Description="-">', '##INFO=<ID=AF2,Number=1,Type=Float,Description="-">']
+    write_vcf(folder / "c.vcf", "C", other, [record(4, "A", "T", "AC=high;AF2=0.5")])
+    swapped = [h.replace("Gene_Name | Gene_ID", "Gene_ID | Gene_Name") for h in HEADER]
+    line = ann("G", "intron_variant").split("|")
+    line[3], line[4] = "ENSG1", "GD"
+    write_vcf(folder / "d.vcf", "D", swapped, [record(5, "A", "G", "AC=1;ANN=" + "|".join(line))])
+
+
+def write_vcf(path, sample, header, records):
+    columns = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", sample])
+    path.write_text("\n".join([*header, columns, *records]) + "\n")
+
+
+@pytest.mark.parametrize("prioritized", [True, False])
+def test_files_with_and_without_annotations_together(spark, tmp_path, prioritized):
+    mixed_files(tmp_path)
+    table = X.flatten_vcf(spark, str(tmp_path), prioritized=prioritized, recursive=True)
+    assert rows(table, "SAMPLE", "POS", "ALT", "GENE_NAME", "AC", "NEWKEY") == sorted([
+        ("A", 1, "G", "GA", "1", None), ("B", 1, "G", None, "1", "7"), ("B", 3, "C", None, "3", None), ("B", 3, "G", None, "4", None),
+        ("B", 3, "G", None, "5", None), ("C", 4, "T", None, "high", None), ("D", 5, "G", "GD", "1", None),
+    ], key=repr)
+
+
+def test_read_samples_takes_names_from_headers(spark, tmp_path):
+    mixed_files(tmp_path)
+    tables = J.read_samples(spark, [str(tmp_path / "b.vcf"), str(tmp_path / "a.vcf")])
+    assert {name: rows(t, "POS") for name, t in tables.items()} == {"B": [(1,), (3,), (3,), (3,)], "A": [(1,)]}
+    write_vcf(tmp_path / "e.vcf", "A", HEADER, [])
+    with pytest.raises(ValueError, match="comes twice"):
+        J.read_samples(spark, [str(tmp_path / "a.vcf"), str(tmp_path / "e.vcf")])

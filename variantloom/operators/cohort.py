@@ -23,8 +23,8 @@ FREQUENCIES = ["VARDB_FREQ", "ALLELE_FREQ"]
 SEPARATOR = " | "
 
 
-def to_calls(variants: DataFrame) -> DataFrame:
-    """The cohort columns of a variant table; an absent genotype label is "UNKWN"."""
+def to_calls(variants: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The cohort columns of a variant table, and `extra` ones; an absent genotype label is "UNKWN"."""
     have = set(variants.columns)
     out = []
     for name in CALL_COLUMNS:
@@ -33,7 +33,7 @@ def to_calls(variants: DataFrame) -> DataFrame:
         else:
             value = F.lit("UNKWN" if name == "ZIGOSITY" else None).cast("string")
         out.append(value.alias(name))
-    return variants.select(*out)
+    return variants.select(*out, *[col(c) for c in extra])
 
 
 def sample_count(calls: DataFrame) -> Column:
@@ -70,8 +70,9 @@ def with_frequencies(stats: DataFrame, n_samples: Column | int) -> DataFrame:
     )
 
 
-def cohort_frequencies(calls: DataFrame, unique: bool = False) -> DataFrame:
-    return with_frequencies(carrier_stats(calls, unique), sample_count(calls))
+def cohort_frequencies(calls: DataFrame, unique: bool = False, n_samples: int | None = None) -> DataFrame:
+    """Frequencies of a cohort; `n_samples` also counts samples without variants, which `calls` cannot."""
+    return with_frequencies(carrier_stats(calls, unique), sample_count(calls) if n_samples is None else n_samples)
 
 
 def merge_stats(*batches: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -122,20 +121,23 @@ def is_variant_level(name: str) -> bool:
     return any(mark in name for mark in VARIANT_LEVEL_MARKS)
 
 
+def first_present(name: str, places: Sequence[int]) -> Column:
+    """A column's value in the first sample that has the variant."""
+    return reduce(lambda rest, i: F.when(F.col(f"_s{i}").isNotNull(), field(i, name)).otherwise(rest), reversed(places), F.lit(None))
+
+
 def differing_columns(gathered: DataFrame, shared: Mapping[str, list[int]]) -> set[str]:
     """Columns that differ between samples on any shared variant (runs one aggregate)."""
     if not shared:
         return set()
+    # Each sample is compared with the first one present, so the expressions grow with the samples only.
+    first = {f"_first{n}": first_present(name, places) for n, (name, places) in enumerate(shared.items())}
     checks = []
     for n, (name, places) in enumerate(shared.items()):
-        pairs = [
-            F.col(f"_s{a}").isNotNull()
-            & F.col(f"_s{b}").isNotNull()
-            & ~field(a, name).eqNullSafe(field(b, name))
-            for a, b in combinations(places, 2)
-        ]
-        differs = reduce(lambda x, y: x | y, pairs)
+        others = [F.col(f"_s{i}").isNotNull() & ~field(i, name).eqNullSafe(F.col(f"_first{n}")) for i in places[1:]]
+        differs = reduce(lambda x, y: x | y, others)
         checks.append(F.max(F.when(differs, 1).otherwise(0)).alias(f"d{n}"))
+    gathered = gathered.withColumns(first)
     row = gathered.agg(*checks).first()
     return {name for n, name in enumerate(shared) if row[f"d{n}"]}
 
@@ -181,16 +183,17 @@ def reconciled(
         if c in per_sample:
             out += [field(i, c).alias(f"{c}_{names[i]}") for i in places]
         else:
-            first_present = reduce(
-                lambda rest, i: F.when(F.col(f"_s{i}").isNotNull(), field(i, c)).otherwise(rest),
-                reversed(places),
-                F.lit(None),
-            )
-            out.append(first_present.alias(c))
+            out.append(first_present(c, places).alias(c))
     presence = {n: F.col(f"_s{i}").isNotNull() for i, n in enumerate(names)}
     return gathered.select(*KEY, *labelled(presence), *out)
 
 
+def place_letter(i: int) -> str:
+    """A ... Z, then AA, AB, ... for the sample at place i."""
+    head, last = divmod(i, 26)
+    return (place_letter(head - 1) if head else "") + chr(ord("A") + last)
+
+
 def venn_place(df: DataFrame, place: str | None, names: Sequence[str]) -> DataFrame:
     """Rows of exactly one region; places are letters in sample order ("A", "A:C", ...).
 
@@ -198,11 +201,11 @@ def venn_place(df: DataFrame, place: str | None, names: Sequence[str]) -> DataFr
     """
     if place is None or place == "ALL":
         return df
-    letters = {chr(ord("A") + i): name for i, name in enumerate(names)}
-    allowed = [":".join(region) for region in regions(list(letters))]
-    if place not in allowed:
-        raise ValueError(f"place must be one of {', '.join(allowed)}")
-    wanted = [letters[letter] for letter in place.split(":")]
+    letters = [place_letter(i) for i in range(len(names))]
+    at = [letters.index(letter) if letter in letters else -1 for letter in place.split(":")]
+    if -1 in at or at != sorted(set(at)):
+        raise ValueError(f"place must be letters from {letters[0]} to {letters[-1]}, each once, in order, joined by ':'")
+    wanted = [names[i] for i in at]
     return df.filter(F.col("samples") == F.array(*[F.lit(n) for n in wanted]))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,16 +15,22 @@ from variantloom.operators.filters import panel_filter, text_filter
 from variantloom.operators.flatten import Ranks, flatten_vcf
 from variantloom.operators.intervals import annotate_genes, depth_runs, depth_summary, interval_intersect
 from variantloom.operators.venn import compare_samples, venn_place
+from variantloom.session import written
 from variantloom.sources import sinks
 from variantloom.sources.files import list_files, select_sample_files
 from variantloom.sources.tables import read_cohort_parquet, read_panel
-from variantloom.session import written
 from variantloom.sources.vcf import Header, header_lines, read_lines, sample_names
 
 
-def annotate_report(report: DataFrame, calls: DataFrame, with_carriers: bool = False) -> DataFrame:
-    """A report with cohort frequencies and, if asked, the carriers of each variant."""
-    out = C.annotate_frequencies(report, C.cohort_frequencies(calls))
+def annotate_report(
+    report: DataFrame, calls: DataFrame, with_carriers: bool = False, n_samples: int | None = None
+) -> DataFrame:
+    """A report with cohort frequencies and, if asked, the carriers of each variant.
+
+    The report is written once: its size checks and both joins read that, not its lineage.
+    """
+    report = written(report, "report")
+    out = C.annotate_frequencies(report, C.cohort_frequencies(calls, n_samples=n_samples))
     if with_carriers:
         columns = [quoted(c) for c in out.columns]
         out = out.join(C.carriers(report, calls), SORT_KEY, "left").select(*columns, "PATS_WITH_VARIANTS")
@@ -35,10 +42,11 @@ def single(
     panel: DataFrame,
     cohort: DataFrame | None = None,
     with_carriers: bool = False,
+    n_samples: int | None = None,
 ) -> DataFrame:
     """One sample's variants in the panel's genes, annotated from the cohort if given."""
     kept = panel_filter(variants, panel)
-    return kept if cohort is None else annotate_report(kept, cohort, with_carriers)
+    return kept if cohort is None else annotate_report(kept, cohort, with_carriers, n_samples)
 
 
 def compare(
@@ -83,7 +91,8 @@ def single_report(
 ) -> None:
     """Panel report of one VCF file, written as tables."""
     calls = read_cohort_parquet(spark, cohort) if cohort else None
-    result = single(flatten_vcf(spark, vcf), read_panel(spark, panel), calls, with_carriers)
+    n_samples = cohort_size(spark, cohort) if cohort else None
+    result = single(flatten_vcf(spark, vcf), read_panel(spark, panel), calls, with_carriers, n_samples)
     if calls is None:
         sinks.write_report(result, out)
     else:
@@ -139,15 +148,41 @@ def build_cohort(
     header: Header | None = None,
 ) -> int:
     """Ingest every sample file of a folder that the cohort lacks; returns the number of files."""
-    known = read_cohort_parquet(spark, cohort).select("SAMPLE") if cohort_exists(spark, cohort) else None
-    chosen = select_sample_files(list_files(spark, folder), suffix, known)
+    # What is known comes from the headers' sample names, also of samples without a single variant.
+    files = list_files(spark, folder).filter(F.lower("path").endswith("final.vcf"))
+    known = []
+    if cohort_exists(spark, sinks.samples_path(cohort)):
+        registered = spark.read.parquet(sinks.samples_path(cohort))
+        files = files.join(registered.select("path"), "path", "left_anti")
+        known.append(registered.select("SAMPLE"))
+    if cohort_exists(spark, cohort):
+        known.append(read_cohort_parquet(spark, cohort).select("SAMPLE"))
+    fresh = [row["path"] for row in files.select("path").collect()]
+    if not fresh:
+        return 0
+    names = written(sample_names(header_lines(read_lines(spark, fresh))), "names").withColumnRenamed("file", "path")
+    chosen = written(
+        select_sample_files(files, suffix, reduce(DataFrame.union, known) if known else None, names=names), "chosen"
+    )
     paths = [row["path"] for row in chosen.select("path").collect()]
     if paths:
         variants = flatten_vcf(spark, paths, prioritized, header)
         sinks.write_cohort(C.to_calls(variants), cohort)
+        sinks.register_samples(chosen, cohort)
     return len(paths)
 
 
+def cohort_size(spark: SparkSession, cohort: str) -> int | None:
+    """Number of samples of a cohort, those without variants included; None if none is registered.
+
+    Samples that were added without a file count by their calls.
+    """
+    if not cohort_exists(spark, sinks.samples_path(cohort)):
+        return None
+    registered = spark.read.parquet(sinks.samples_path(cohort)).select("SAMPLE")
+    return registered.union(read_cohort_parquet(spark, cohort).select("SAMPLE")).distinct().count()
+
+
 def add_sample(spark: SparkSession, calls: DataFrame, cohort: str) -> None:
     """Add one sample's calls; fails if the cohort already has the sample."""
     names = [row["SAMPLE"] for row in calls.select("SAMPLE").distinct().limit(2).collect()]

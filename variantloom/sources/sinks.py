@@ -45,8 +45,22 @@ def write_flat_parquet(
 
 
 def write_cohort(calls: DataFrame, path: str) -> None:
-    """Long cohort partitioned by SAMPLE; writing a sample again replaces it."""
-    write_flat_parquet(calls, path, ["SAMPLE"])
+    """Long cohort partitioned by SAMPLE and PART; writing a part of a sample again replaces it.
+
+    Without a PART column the sample is one part.
+    """
+    parts = calls if "PART" in calls.columns else calls.withColumn("PART", F.lit("whole"))
+    write_flat_parquet(parts, path, ["SAMPLE", "PART"])
+
+
+def samples_path(cohort: str) -> str:
+    """Where the samples of a cohort are registered: those without variants have no calls."""
+    return cohort.rstrip("/") + "_samples"
+
+
+def register_samples(samples: DataFrame, cohort: str) -> None:
+    """Add SAMPLE and path of ingested files; registering a file again changes nothing that counts."""
+    samples.select("SAMPLE", "path").write.mode("append").parquet(samples_path(cohort))
 
 
 def write_cohort_by_chrom(table: DataFrame, path: str) -> None:
