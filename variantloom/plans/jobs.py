@@ -146,10 +146,14 @@ def build_cohort(
     suffix: str,
     prioritized: bool | Ranks = True,
     header: Header | None = None,
+    ending: str = "final.vcf",
 ) -> int:
-    """Ingest every sample file of a folder that the cohort lacks; returns the number of files."""
+    """Ingest every sample file of a folder that the cohort lacks; returns the number of files.
+
+    Sample files are those whose name has the ending.
+    """
     # What is known comes from the headers' sample names, also of samples without a single variant.
-    files = list_files(spark, folder).filter(F.lower("path").endswith("final.vcf"))
+    files = list_files(spark, folder).filter(F.lower("path").endswith(ending))
     known = []
     if cohort_exists(spark, sinks.samples_path(cohort)):
         registered = spark.read.parquet(sinks.samples_path(cohort))
@@ -162,7 +166,7 @@ def build_cohort(
         return 0
     names = written(sample_names(header_lines(read_lines(spark, fresh))), "names").withColumnRenamed("file", "path")
     chosen = written(
-        select_sample_files(files, suffix, reduce(DataFrame.union, known) if known else None, names=names), "chosen"
+        select_sample_files(files, suffix, reduce(DataFrame.union, known) if known else None, ending, names), "chosen"
     )
     paths = [row["path"] for row in chosen.select("path").collect()]
     if paths:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from variantloom.functions import labels as L
@@ -433,13 +433,13 @@ COHORT_CSV = f"SELECT {ID}, {LABELS}, freq, allele_freq FROM c JOIN freqs USING
 
 @query(
     "cohort_csv_by_chrom",
-    cohort_sql(ROWS, f"SELECT {ID}, gene_name, hgvs_c, ROUND(freq, 5) AS freq, ROUND(allele_freq, 5) AS allele_freq FROM ({COHORT_CSV}) x").replace(", 6)", ", 12)"),
+    cohort_sql(ROWS, f"SELECT {ID}, gene_name, hgvs_c, hgvs_p, ROUND(freq, 5) AS freq, ROUND(allele_freq, 5) AS allele_freq FROM ({COHORT_CSV}) x").replace(", 6)", ", 12)"),
 )
 def cohort_csv_by_chrom(spark, sf_dir):
     """Sorted CSVs per chromosome with 5-place fractions, read back with a column subset."""
     path = scratch_path(spark, "cohort-csv")
     K.write_cohort_by_chrom(C.cohort_table(variants(spark, sf_dir, ROWS)), path)
-    back = T.read_cohort_csv(spark, path, [*KEY, "GENE_NAME", "HGVS.C", "FREQ", "ALLELE_FREQ"])
+    back = T.read_cohort_csv(spark, path, [*KEY, "GENE_NAME", "HGVS.C", "HGVS.P", "FREQ", "ALLELE_FREQ"])
     return plain(back)
 
 
@@ -685,13 +685,25 @@ def depth_summary_exon(spark, sf_dir):
     cover_sql("SELECT gene, chrom, ROUND(AVG(depth), 6) AS mean, MIN(depth) AS lowest, MAX(depth) AS highest FROM cover GROUP BY gene, chrom"),
 )
 def write_depth_reports(spark, sf_dir):
-    """Depth track written and read as headerless text, then both summaries as CSV; the gene one is returned."""
+    return depth_report(spark, sf_dir, "GENE")
+
+
+@query(
+    "write_depth_reports_exon",
+    cover_sql("SELECT exon, chrom, ROUND(AVG(depth), 6) AS mean, MIN(depth) AS lowest, MAX(depth) AS highest FROM cover GROUP BY exon, chrom"),
+)
+def write_depth_reports_exon(spark, sf_dir):
+    return depth_report(spark, sf_dir, "EXON")
+
+
+def depth_report(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
+    """Depth track written and read as headerless text, then both summaries as CSV; one of them is returned."""
     track, out = scratch_path(spark, "track"), scratch_path(spark, "depth-report")
     J.coverage(reads(spark, sf_dir), exons(spark, sf_dir), bin_width=1 << 10).write.csv(track, sep="\t")
     K.write_depth_reports(T.read_depth(spark, track), out)
-    back = spark.read.csv(f"{out}/coverage_per_gene", header=True)
+    back = spark.read.csv(f"{out}/coverage_per_{level.lower()}", header=True)
     return back.select(
-        F.col("GENE").alias("gene"), F.col("CHROM").alias("chrom"), F.round(F.col("mean").cast("double"), 6).alias("mean"),
+        F.col(level).alias(level.lower()), F.col("CHROM").alias("chrom"), F.round(F.col("mean").cast("double"), 6).alias("mean"),
         F.col("min").cast("bigint").alias("lowest"), F.col("max").cast("bigint").alias("highest"),
     )
 
@@ -734,6 +746,43 @@ def vendor_projection(spark, sf_dir):
     return plain(R.vendor_projection(R.sort_vendor(variants(spark, sf_dir, CALLS))))
 
 
+ORDERS = {
+    "variants": (R.sort_variants, "struct(CHROM, POS)"),
+    "report": (R.sort_report, "struct(SAMPLE, CHROM, POS, REF, ALT)"),
+    "vendor": (
+        R.sort_vendor,
+        "struct(CASE CHROM WHEN 'chrX' THEN 23 WHEN 'chrY' THEN 24 WHEN 'chrUn_7' THEN 25 ELSE CAST(SUBSTRING(CHROM, 4) AS INT) END AS place, POS)",
+    ),
+}
+
+
+def inversions(table: DataFrame, path: str, key: str) -> DataFrame:
+    """n and inversions: rows of a written table below the row before them, in their file or the one before."""
+    table.write.parquet(path)
+    back = table.sparkSession.read.parquet(path).selectExpr("_metadata.file_name AS file", "_metadata.row_index AS place", f"{key} AS key")
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("place"))
+    files = back.withColumn("bad", F.coalesce((F.col("key") < before).cast("bigint"), F.lit(0))).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"), F.min("key").alias("first"), F.max("key").alias("last")
+    )
+    # One row per file.
+    gap = F.coalesce((F.col("first") < F.lag("last").over(Window.orderBy("file"))).cast("bigint"), F.lit(0))
+    return files.withColumn("gap", gap).agg(F.sum("n").alias("n"), F.sum(F.col("bad") + F.col("gap")).alias("inversions"))
+
+
+@query(
+    "sorted_tables",
+    check_sql(" UNION ALL ".join(f"SELECT '{name}' AS layout, COUNT(*) AS n, CAST(0 AS BIGINT) AS inversions FROM c" for name in ORDERS), c=CALLS),
+)
+def sorted_tables(spark, sf_dir):
+    """Every sort order written and read back in place, with sex chromosomes and a named contig."""
+    chrom = F.expr("CASE CHROM WHEN 'chr20' THEN 'chrUn_7' WHEN 'chr21' THEN 'chrX' WHEN 'chr22' THEN 'chrY' ELSE CHROM END")
+    calls = written(variants(spark, sf_dir, CALLS).withColumn("CHROM", chrom), "calls")
+    found = [
+        inversions(sort(calls), scratch_path(spark, "sorted"), key).withColumn("layout", F.lit(name)) for name, (sort, key) in ORDERS.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "chromosome_rank",
     check_sql("SELECT chrom, CAST(SUBSTRING(chrom, 4) AS INTEGER) AS place, COUNT(*) AS n FROM c GROUP BY 1, 2", c=CALLS),
@@ -752,6 +801,18 @@ def write_report(spark, sf_dir):
     return plain(stats.withColumn("count", F.col("count").cast("bigint")))
 
 
+@query(
+    "write_report_data",
+    check_sql(f"SELECT gene_name, hgvs_p, hgvs_c, rsid, zigosity, {ID}, effect, impact, feature_id, vartype FROM c", c=CALLS),
+)
+def write_report_data(spark, sf_dir):
+    """The same report's data table."""
+    out = scratch_path(spark, "report")
+    K.write_report(variants(spark, sf_dir, CALLS), out)
+    data = spark.read.csv(f"{out}/data", header=True).withColumn("POS", F.col("POS").cast("bigint"))
+    return plain(data, "GENE_NAME", "HGVS.P", "HGVS.C", "RSID", "ZIGOSITY", *KEY_NAMES, "EFFECT", "IMPACT", "FEATURE_ID", "VARTYPE")
+
+
 @query(
     "write_annotated_report",
     cohort_sql(ROWS, f"SELECT {ID}, r.gene_name, freq AS vardb_freq, allele_freq, NULLIF(carriers, '') AS carriers FROM r LEFT JOIN freqs USING ({ID}) LEFT JOIN ({CARRIER_SQL}) k USING ({ID})", r=REPORT),

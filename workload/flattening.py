@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from variantloom.functions import labels as L
 from variantloom.operators import flatten as X
 from variantloom.operators.cohort import to_calls
-from variantloom.plans.jobs import add_sample, parse_vcf
+from variantloom.plans.jobs import add_sample, build_cohort, cohort_size, parse_vcf
 from variantloom.session import scratch_path
 from variantloom.sources import sinks
 from variantloom.sources.tables import read_cohort_parquet
@@ -19,10 +19,12 @@ from workload.relations import (
     HEADER,
     RECORDS,
     check_sql,
+    header_text,
     plain,
     relation,
     vcf_lines,
     write_vcf_files,
+    write_vcf_text,
 )
 
 # Steps of the expected result, as SQL over the record relation `r`.
@@ -220,38 +222,36 @@ def prioritize_custom_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "effect_severity",
-    steps(select=f"""SELECT effect1 AS effect, CAST(CASE SPLIT_PART(effect1, '&', 1) WHEN 'missense_variant' THEN 14
+    steps(ANNOTATIONS.replace("FROM allele_rows WHERE annotated", "FROM r"), select="""SELECT effect, CAST(CASE SPLIT_PART(effect, '&', 1) WHEN 'missense_variant' THEN 14
   WHEN 'splice_region_variant' THEN 15 WHEN 'synonymous_variant' THEN 18 WHEN 'intron_variant' THEN 24
-  WHEN 'upstream_gene_variant' THEN 26 END AS INTEGER) AS severity, COUNT(*) AS n FROM r GROUP BY 1, 2"""),
+  WHEN 'upstream_gene_variant' THEN 26 END AS INTEGER) AS severity, COUNT(*) AS n FROM annotation_rows GROUP BY 1, 2"""),
 )
 def effect_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = relation(spark, sf_dir, RECORDS)
-    return r.select(F.col("effect1").alias("effect"), L.effect_rank(F.col("effect1")).alias("severity")).groupBy(
-        "effect", "severity"
-    ).agg(F.count(F.lit(1)).alias("n"))
+    effects = relation(spark, sf_dir, RECORDS).select(F.explode(F.array("effect1", "effect2", "effect3")).alias("effect"))
+    return effects.groupBy("effect", L.effect_rank(F.col("effect")).alias("severity")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "amino_change",
-    steps(select="""SELECT sample, ordinal, pos, hgvs_p1 AS hgvs_p, CASE WHEN LEFT(REPLACE(hgvs_p1, 'p.', ''), 3)
-  <> RIGHT(REPLACE(hgvs_p1, 'p.', ''), 3) THEN 'CHANGE' ELSE '.' END AS aminochange FROM r"""),
-)
+def change_sql(i: int) -> str:
+    return f"""hgvs_p{i}, CASE WHEN LEFT(REPLACE(hgvs_p{i}, 'p.', ''), 3)
+  <> RIGHT(REPLACE(hgvs_p{i}, 'p.', ''), 3) THEN 'CHANGE' ELSE '.' END AS aminochange{i}"""
+
+
+@query("amino_change", steps(select=f"SELECT sample, ordinal, pos, {', '.join(change_sql(i) for i in (1, 2, 3))} FROM r"))
 def amino_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = relation(spark, sf_dir, RECORDS)
-    return r.select(
-        "sample", "ordinal", "pos", F.col("hgvs_p1").alias("hgvs_p"), L.amino_change(F.col("hgvs_p1")).alias("aminochange")
-    )
+    changes = [c for i in (1, 2, 3) for c in (F.col(f"hgvs_p{i}"), L.amino_change(F.col(f"hgvs_p{i}")).alias(f"aminochange{i}"))]
+    return r.select("sample", "ordinal", "pos", *changes)
 
 
 @query(
     "hgvs_and_zygosity",
-    steps(select="""SELECT sample, ordinal, pos, CASE WHEN hgvs_c2 NOT LIKE '%null%' THEN hgvs_c2 END AS hgvs_c,
+    steps(select=f"""SELECT sample, ordinal, pos, {', '.join(f"CASE WHEN hgvs_c{i} NOT LIKE '%null%' THEN hgvs_c{i} END AS hgvs_c{i}" for i in (1, 2, 3))},
   CASE WHEN zigosity = 'HOM' THEN 'HOM' ELSE 'HET' END AS zigosity FROM r"""),
 )
 def hgvs_and_zygosity(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = relation(spark, sf_dir, RECORDS)
     return r.select(
-        "sample", "ordinal", "pos", L.clean_hgvs_c(F.col("hgvs_c2")).alias("hgvs_c"),
+        "sample", "ordinal", "pos", *[L.clean_hgvs_c(F.col(f"hgvs_c{i}")).alias(f"hgvs_c{i}") for i in (1, 2, 3)],
         L.zygosity(F.col("zigosity") == "HOM").alias("zigosity"),
     )
 
@@ -352,9 +352,72 @@ def build_and_add_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_cohort", CALLS_SQL)
 def stream_cohort_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same cohort built by a stream over a folder of VCF files."""
+    """The same cohort built by a stream over a folder of VCF files, two per sample, in several batches."""
     folder = scratch_path(spark, "stream-in")
-    write_vcf_files(spark, sf_dir, folder, pieces=1)
+    write_vcf_files(spark, sf_dir, folder, pieces=2)
     cohort, checkpoint = scratch_path(spark, "stream-cohort"), scratch_path(spark, "stream-checkpoint")
     stream_cohort(spark, folder, cohort, checkpoint, HEADER, files_per_batch=11, glob="*.txt").awaitTermination()
     return plain(read_cohort_parquet(spark, cohort))
+
+
+# Files that differ: those of N samples have no annotations, those of R declare a text where others
+# declare a number, and those of A hold a key that no header declares.
+MIXED_FIELDS = FIELDS.replace(
+    "CAST(build AS BIGINT) AS dbsnpbuildid",
+    "CASE WHEN sample LIKE '%R' THEN 'b' || build ELSE build END AS dbsnpbuildid, CASE WHEN sample LIKE '%A' THEN '7' END AS newkey",
+)
+NO_ANNOTATION = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("effect", "impact", "feature_id", "hgvs_c", "hgvs_p"))
+MIXED_SQL = steps(
+    LAST, alleles("last_record"), ANNOTATIONS, FIRST,
+    select=f"""SELECT {MIXED_FIELDS} FROM chosen WHERE sample NOT LIKE '%N'
+  UNION ALL SELECT {MIXED_FIELDS} FROM (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS gene), {NO_ANNOTATION} FROM allele_rows WHERE sample LIKE '%N') n""",
+)
+
+
+@query("flatten_mixed_files", MIXED_SQL)
+def flatten_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotated and unannotated files, files that disagree about a type, and undeclared keys, read together."""
+    text = vcf_lines(spark, sf_dir).withColumn(
+        "line",
+        F.when(F.col("SAMPLE").endswith("N"), F.regexp_replace("line", ";ANN=[^\t]*", ""))
+        .when(F.col("SAMPLE").endswith("R"), F.replace("line", F.lit("dbSNPBuildID="), F.lit("dbSNPBuildID=b")))
+        .otherwise(F.replace("line", F.lit(";dbSNPBuildID="), F.lit(";NEWKEY=7;dbSNPBuildID="))),
+    )
+    head = []
+    for line in header_text("SAMPLE"):
+        if "ID=ANN," in line:
+            line = f"if(endswith(SAMPLE, 'N'), '', {line})"
+        elif "ID=dbSNPBuildID," in line:
+            line = f"if(endswith(SAMPLE, 'R'), {line.replace('Integer', 'String')}, {line})"
+        head.append(line)
+    path = scratch_path(spark, "mixed")
+    write_vcf_text(text, path, 2, head=head)
+    return plain(X.flatten_vcf(spark, path, recursive=True, glob="*.txt"), *NAMES, "NEWKEY")
+
+
+# Samples of line 1 also have a processed file, with homozygous records only, that supersedes the raw one.
+BUILT = """SELECT * REPLACE (CASE WHEN sample LIKE 'P1%' THEN sample || '_proc' ELSE sample END AS sample)
+  FROM every WHERE sample NOT LIKE 'P1%' OR zigosity = 'HOM'"""
+
+
+@query(
+    "build_cohort",
+    f"""{check_sql("", every=RECORDS, r=BUILT).strip()}, {LAST}, {alleles("last_record")}, {ANNOTATIONS}, {FIRST}
+  SELECT sample, chrom, pos, ref, allele AS alt, zigosity, gene AS gene_name,
+  CASE WHEN hgvs_c NOT LIKE '%null%' THEN hgvs_c END AS hgvs_c, NULLIF(hgvs_p, '') AS hgvs_p,
+  (SELECT COUNT(DISTINCT sample) FROM r) + (SELECT COUNT(*) FROM region) AS n_samples, CAST(0 AS BIGINT) AS again FROM chosen""",
+)
+def build_cohort_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of files named unlike their samples, some superseded, some without a variant, ingested twice.
+
+    n_samples counts the samples without variants; `again` is how many files the second run ingests.
+    """
+    text = vcf_lines(spark, sf_dir)
+    processed = text.filter("SAMPLE LIKE 'P1%' AND contains(line, ';HOM;')").withColumn("SAMPLE", F.concat("SAMPLE", F.lit("_proc")))
+    empty = spark.read.parquet(f"{sf_dir}/region.parquet").selectExpr("concat('E', r_regionkey) AS SAMPLE")
+    folder, cohort = scratch_path(spark, "samples"), scratch_path(spark, "cohort")
+    write_vcf_text(text.unionByName(processed, allowMissingColumns=True), folder, 1, empty)
+    build_cohort(spark, folder, cohort, "_proc", ending=".txt")
+    again = build_cohort(spark, folder, cohort, "_proc", ending=".txt")
+    calls = plain(read_cohort_parquet(spark, cohort))
+    return calls.withColumns({"n_samples": F.lit(cohort_size(spark, cohort)).cast("bigint"), "again": F.lit(again).cast("bigint")})

@@ -227,14 +227,18 @@ def header_text(sample: str) -> list[str]:
 
 
 def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, pieces: int | None = None) -> None:
-    """VCF text files below `path`: several files per sample, each with its header.
-
-    A variant's records stay in one file and in their order. The number of files grows
-    with the data unless `pieces` fixes it.
-    """
+    """VCF text files of all records below `path`; their number grows with the data unless `pieces` fixes it."""
     text = vcf_lines(spark, sf_dir)
     if pieces is None:
         pieces = 4 + text.count() // 2_000_000
+    write_vcf_text(text, path, pieces)
+
+
+def write_vcf_text(text: DataFrame, path: str, pieces: int, empty: DataFrame | None = None, head: list[str] | None = None) -> None:
+    """Lines (SAMPLE, ordinal, line) as `pieces` files per sample, each with its header (`head`: SQL expressions).
+
+    A variant's records stay in one file and in their order. Samples of `empty` get a header only.
+    """
     lines = text.selectExpr(
         "SAMPLE",
         f"pmod(hash(substring_index(line, '\\t', 2)), {pieces}) AS piece",
@@ -242,11 +246,13 @@ def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, pieces: int | N
         "ordinal",
         "line",
     )
+    files = lines.select("SAMPLE", "piece").distinct()
+    if empty is not None:
+        files = files.unionByName(empty.selectExpr("SAMPLE", "0 AS piece"))
     heads = (
-        lines.select("SAMPLE", "piece")
-        .distinct()
-        .selectExpr("SAMPLE", "piece", "0 AS part", f"posexplode(array({', '.join(header_text('SAMPLE'))})) AS (ordinal, line)")
+        files.selectExpr("SAMPLE", "piece", "0 AS part", f"posexplode(array({', '.join(head or header_text('SAMPLE'))})) AS (ordinal, line)")
         .withColumn("ordinal", F.col("ordinal").cast("bigint"))
+        .filter("line <> ''")
     )
     (
         lines.unionByName(heads)
