@@ -372,6 +372,18 @@ def test_passages_as_brute_force(spark, docs, empty):
     assert substring_dedup.repeated_passages(empty).count() == 0
 
 
+def test_equal_passages_meet_whatever_documents_share_their_words(spark):
+    """Many documents share a run too short to count; the two that share a whole passage are still found."""
+    rng = random.Random(11)
+    short, rest = prose(rng, 35), prose(rng, 30)
+    rows = [(i, " ".join([prose(rng, 60), short, prose(rng, 60)])) for i in range(40)]
+    rows += [(100, " ".join([prose(rng, 60), short, rest, prose(rng, 40)])), (101, " ".join([prose(rng, 20), short, rest, prose(rng, 70)]))]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert (101, 100) in {(r.doc_id, r.like_doc_id) for r in got} and len(got) == len(set(got))
+    held = [r for r in got if (r.doc_id, r.like_doc_id) == (101, 100)]
+    assert max(r.end_word - r.first_word for r in held) >= 65
+
+
 def test_compact_windows_are_the_cartesian_tree():
     rng = np.random.default_rng(1)
     for _ in range(100):
