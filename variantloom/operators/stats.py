@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,6 +93,7 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 RANGE_BLOCK = 16
 RANGES = RANGE_BLOCK * RANGE_BLOCK
+LEVELS = 2  # the ranges that hold a wanted rank are cut up once more: 65,536 parts of a column
 
 
 def cuts_upto(value: Column) -> Column:
@@ -102,59 +104,72 @@ def cuts_upto(value: Column) -> Column:
     return F.coalesce(blocks + F.size(F.filter(inside, lambda cut: cut <= value)), F.lit(0))
 
 
+def wanted_ranks(probabilities: Sequence[float]) -> list[tuple[Column, Column]]:
+    """For each probability the two ranks, from 0, that its quantile lies between, from `size`."""
+    places = [(F.col("size") - 1) * F.lit(float(p)) for p in probabilities]
+    return [(F.floor(place), F.ceil(place)) for place in places]
+
+
+def narrowed(rows: DataFrame, by: list[str], part: str, probabilities: Sequence[float]) -> DataFrame:
+    """The rows (name, value, n, before) of those ranges that hold a wanted rank; `part` names the range.
+
+    `before` counts the cells ahead of a range. The approximate cut points only balance the work.
+    """
+    steps = [i / RANGES for i in range(1, RANGES)]
+    size = [] if "size" in rows.columns else [F.sum("n").alias("size")]
+    cuts = rows.groupBy(*by).agg(F.percentile_approx("value", steps, 8 * RANGES).alias("cuts"), *size)
+    block_ends = F.transform(
+        F.sequence(F.lit(1), F.lit(RANGE_BLOCK - 1)), lambda k: F.element_at("cuts", k * RANGE_BLOCK)
+    )
+    # One row per column of the table, later one per wanted range of each.
+    cuts = F.broadcast(cuts.withColumn("block_cuts", block_ends))
+    ranged = rows.join(cuts, by).select(*by, "value", "n", "before", "size", cuts_upto(F.col("value")).alias(part))
+    totals = ranged.groupBy(*by, part).agg(F.sum("n").alias("n"), F.max("before").alias("before"), F.max("size").alias("size"))
+    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    ends = totals.select(*by, part, "n", "size", start.alias("before"))
+    held = [(F.col("before") <= r) & (r < F.col("before") + F.col("n")) for pair in wanted_ranks(probabilities) for r in pair]
+    # At most two rows per probability and column of the table.
+    kept = F.broadcast(ends.filter(reduce(lambda x, y: x | y, held)).select(*by, part, "before"))
+    return ranged.drop("before").join(kept, [*by, part])
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles of whole columns, without gathering a column in one task.
 
-    Values are counted first (hot values shrink map-side), spread over ranges between
-    approximate cut points, and ranked by a running count within a range plus the
-    total of the ranges before it. The cut points only balance the work.
+    Values are counted first (hot values shrink map-side) and spread over ranges between
+    approximate cut points. Only ranges that hold a wanted rank go on: they are cut up again,
+    and what is left is ranked by a running count plus the total of all ranges before.
     """
     cells = F.array(
         *[F.struct(F.lit(c).alias("name"), col(c).cast("double").alias("value")) for c in columns]
     )
-    counts = (
+    rows = (
         df.select(F.inline(cells))
         .filter("value IS NOT NULL")
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         # Always true; it makes every use of the counts need them, so all share one shuffle.
         .filter("n > 0")
+        .withColumn("before", F.lit(0).cast("bigint"))
     )
-    steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = counts.groupBy("name").agg(
-        F.percentile_approx("value", steps, 8 * RANGES).alias("cuts"), F.sum("n").alias("size")
-    )
-    block_ends = F.transform(
-        F.sequence(F.lit(1), F.lit(RANGE_BLOCK - 1)), lambda k: F.element_at("cuts", k * RANGE_BLOCK)
-    )
-    # One row per column of the table.
-    cuts = F.broadcast(cuts.withColumn("block_cuts", block_ends))
-    ranged = counts.join(cuts, "name").select(
-        "name", "value", "n", "size", cuts_upto(F.col("value")).alias("range")
-    )
-    totals = ranged.groupBy("name", "range").agg(F.sum("n").alias("n"))
-    earlier = Window.partitionBy("name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most RANGES rows per column of the table.
-    offsets = F.broadcast(
-        totals.select(
-            "name",
-            "range",
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"),
-        )
-    )
-    within = Window.partitionBy("name", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = ranged.join(offsets, ["name", "range"]).withColumn("upto", F.col("offset") + F.sum("n").over(within))
+    by = ["name"]
+    for level in range(LEVELS):
+        rows = narrowed(rows, by, f"range{level}", probabilities)
+        by = [*by, f"range{level}"]
+    within = Window.partitionBy(*by).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = rows.withColumn("upto", F.col("before") + F.sum("n").over(within))
 
     def holding(rank: Column) -> Column:
         inside = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
         return F.max(F.when(inside, F.col("value")))
 
     parts = []
-    for i, p in enumerate(probabilities):
+    for i, (p, (low, high)) in enumerate(zip(probabilities, wanted_ranks(probabilities))):
         place = (F.col("size") - 1) * F.lit(float(p))
         parts += [
-            holding(F.floor(place)).alias(f"lo{i}"),
-            holding(F.ceil(place)).alias(f"hi{i}"),
+            holding(low).alias(f"lo{i}"),
+            holding(high).alias(f"hi{i}"),
             F.max(place - F.floor(place)).alias(f"f{i}"),
         ]
     found = ranks.groupBy("name").agg(*parts)
