@@ -342,6 +342,30 @@ def test_exact_and_edited_items_are_found(spark, docs, empty):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 5, 1000])
+@pytest.mark.parametrize("kind", ["edited", "quoted"])
+def test_copies_of_a_leak_do_not_hide_it(spark, kind, copies):
+    """Every fifth word replaced, or 45 % of the item quoted: found however many documents hold it."""
+    rng = random.Random(12)
+    item = [f"q{i}" for i in range(60)]
+    part = ["else" if i % 5 == 4 else w for i, w in enumerate(item)] if kind == "edited" else item[:27]
+    rows = [(i, prose(rng, 20) + " " + " ".join(part) + " " + prose(rng, 20)) for i in range(copies)]
+    rows += [(5000 + i, prose(rng, 20) + " q1 q2 q3 q4 " + prose(rng, 20)) for i in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontamination.contaminated(table, bench).collect()}
+    assert set(got) == set(range(copies))
+    assert min(got.values()) >= (0.65 if kind == "edited" else 0.44)
+    assert decontamination.decontaminated(table, bench).count() == 20
+
+
+def test_hits_of_many_places_come_in_runs_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(decontamination, "ENTRIES", 7)
+    row, counts = np.array([0, 0, 2, 3, 3, 3, 9]), np.array([2, 2, 5, 1, 9, 1, 3])
+    runs = [list(range(len(row)))[cut] for cut in decontamination.runs_of_rows(row, counts)]
+    assert runs == [[0, 1], [2, 3, 4, 5], [6]]
+
+
 def test_alignment_is_smith_waterman():
     rng = np.random.default_rng(0)
     for _ in range(30):

@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Test items go to all tasks in blocks of bounded size. A first pass counts in how many documents
-each item n-gram occurs; the rarer ones of each item are its seeds. A second pass finds the seeds in
-every text, and where enough of an item's seeds lie close together, aligns that part of the text
-with the item. Documents are never shuffled.
+Test items go to all tasks in blocks of bounded size. All n-grams of an item are its seeds, however
+many documents hold them. One pass finds them in every text, and where enough different places of an
+item lie close together, aligns that part of the text with the item unless too few of the item's
+words occur there to reach the score. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -26,13 +26,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_BYTES = 16 * 1024 * 1024  # item text that tasks hold at once, about
 MATCH, MISMATCH, GAP = 2, -1, -1
 SIEVE = 1 << 22
+ENTRIES = 1 << 20  # places of seeds looked at together, or those of one text
 
 
 @dataclass(frozen=True)
 class Limits:
     n: int = 3  # words in a seed
     score: float = 0.4  # share of the alignment score of an identical copy
-    rare: int = 4  # a seed occurs in at most this many times the documents of its item's median n-gram
 
 
 @dataclass
@@ -68,39 +68,6 @@ def found(grams: np.ndarray, hashes: np.ndarray, sieve: np.ndarray) -> np.ndarra
     return at[hashes[spot] == grams[at]]
 
 
-def frequencies(batches: Iterable[pa.RecordBatch], hashes: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-    """seed, docs: in how many of the task's texts each distinct hash occurs."""
-    seeds = Seeds([], [], hashes, hashes, hashes)
-    sieve, counts = seeds.sieve(), np.zeros(len(hashes), dtype=np.int64)
-    for batch in batches:
-        for piece in T.pieces(batch, "text"):
-            grams, row, _ = T.row_ngrams(T.words(piece.column("text"), lower=True), n)
-            hit = found(grams, hashes, sieve)
-            seed = np.searchsorted(hashes, grams[hit])
-            once = np.unique(row[hit] * np.int64(len(hashes)) + seed)
-            counts += np.bincount(once % len(hashes), minlength=len(hashes))
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["seed", "docs"])
-
-
-def rare_seeds(docs: DataFrame, items: list[tuple], limits: Limits) -> Seeds:
-    """The items' n-grams without those that are frequent beside the median of their item."""
-    every = seeds_of(items, limits.n)
-    hashes = np.unique(every.hashes)
-    if not len(hashes):
-        return every
-    counted = docs.select("text").mapInArrow(lambda b: frequencies(b, hashes, limits.n), "seed bigint, docs bigint")
-    docs_of = np.zeros(len(hashes), dtype=np.int64)
-    for row in counted.groupBy("seed").agg(F.sum("docs").alias("docs")).collect():
-        docs_of[row["seed"]] = row["docs"]
-    count = docs_of[np.searchsorted(hashes, every.hashes)]
-    median = np.zeros(len(items))
-    for i in np.unique(every.item):
-        median[i] = np.median(count[every.item == i])
-    kept = count <= limits.rare * np.maximum(median[every.item], 1)
-    return Seeds(every.ids, every.words, every.hashes[kept], every.item[kept], every.place[kept])
-
-
 def align(part: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman: best local score and the ends (exclusive) of the alignment in `part` and `item`."""
     m = len(part)
@@ -120,6 +87,11 @@ def align(part: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best, end, item_end
 
 
+def least_places(size: int | np.ndarray, n: int) -> int | np.ndarray:
+    """Different places of an item of `size` words whose seeds must lie close together."""
+    return np.maximum(1, (size - n + 1) // 10)
+
+
 def aligned_spans(words: np.ndarray, hits: np.ndarray, places: np.ndarray, item: np.ndarray, limits: Limits) -> tuple[float, int, int] | None:
     """The best alignment of an item with a text: share of the full score, first and end word.
 
@@ -127,13 +99,15 @@ def aligned_spans(words: np.ndarray, hits: np.ndarray, places: np.ndarray, item:
     """
     cuts = np.flatnonzero(np.diff(hits) > len(item)) + 1
     margin = len(item) // 4 + 4
-    least = max(1, (len(item) - limits.n + 1) // 10)
     best = None
     for group in np.split(np.arange(len(hits)), cuts):
-        if len(np.unique(places[group])) < least:
+        if len(np.unique(places[group])) < least_places(len(item), limits.n):
             continue
         start = max(0, int((hits[group] - places[group]).min()) - margin)
         stop = min(len(words), int((hits[group] + len(item) - places[group]).max()) + margin)
+        # A match needs a word of the item, so no score is higher than that of all its words found here.
+        if np.isin(item, words[start:stop]).mean() < limits.score:
+            continue
         score, end, item_end = align(words[start:stop], item)
         share = score / (MATCH * len(item))
         if share >= limits.score and (best is None or share > best[0]):
@@ -148,22 +122,38 @@ def text_hits(column: pa.Array, seeds: Seeds, sieve: np.ndarray, limits: Limits)
     grams, row, at = T.row_ngrams(w, limits.n)
     hit = found(grams, seeds.hashes, sieve)
     first = np.searchsorted(seeds.hashes, grams[hit], side="left")
-    last = np.searchsorted(seeds.hashes, grams[hit], side="right")
-    counts = last - first
-    entry = np.repeat(first, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    row, at = np.repeat(row[hit], counts), np.repeat(at[hit], counts)
-    item, place = seeds.item[entry], seeds.place[entry]
-    order = np.lexsort((place, at, item, row))
-    row, at, item, place = row[order], at[order], item[order], place[order]
-    cuts = np.flatnonzero((np.diff(row) != 0) | (np.diff(item) != 0)) + 1
-    for group in np.split(np.arange(len(row)), cuts):
-        if not len(group):
-            continue
-        r, i = int(row[group[0]]), int(item[group[0]])
-        a, b = w.first[r], w.first[r + 1]
-        span = aligned_spans(w.hashes[a:b], at[group] - a, place[group], seeds.words[i], limits)
-        if span:
-            yield r, i, *span, int(b - a)
+    counts = np.searchsorted(seeds.hashes, grams[hit], side="right") - first
+    row, at = row[hit], at[hit]
+    sizes = np.array([len(x) for x in seeds.words])
+    for cut in runs_of_rows(row, counts):
+        c = counts[cut]
+        entry = np.repeat(first[cut], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        rows, spots = np.repeat(row[cut], c), np.repeat(at[cut], c)
+        item, place = seeds.item[entry], seeds.place[entry]
+        order = np.lexsort((spots, place, item, rows))
+        rows, spots, item, place = rows[order], spots[order], item[order], place[order]
+        new = np.concatenate([[True], (np.diff(rows) != 0) | (np.diff(item) != 0)])
+        places = np.add.reduceat(new | np.concatenate([[True], np.diff(place) != 0]), np.flatnonzero(new), dtype=np.int64)
+        ends = np.append(np.flatnonzero(new), len(rows))
+        enough = places >= least_places(sizes[item[ends[:-1]]], limits.n)
+        for start, stop in zip(ends[:-1][enough], ends[1:][enough]):
+            group = start + np.lexsort((place[start:stop], spots[start:stop]))
+            r, i = int(rows[start]), int(item[start])
+            a, b = w.first[r], w.first[r + 1]
+            span = aligned_spans(w.hashes[a:b], spots[group] - a, place[group], seeds.words[i], limits)
+            if span:
+                yield r, i, *span, int(b - a)
+
+
+def runs_of_rows(row: np.ndarray, counts: np.ndarray) -> Iterator[slice]:
+    """Whole texts' hits, in runs that stand for about ENTRIES places."""
+    total = np.concatenate([[0], np.cumsum(counts)])
+    start = 0
+    while start < len(row):
+        stop = max(start + 1, int(np.searchsorted(total, total[start] + ENTRIES, side="right")) - 1)
+        stop = int(np.searchsorted(row, row[stop - 1], side="right"))
+        yield slice(start, stop)
+        start = stop
 
 
 def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
@@ -189,7 +179,7 @@ def contaminated(docs: DataFrame, items: DataFrame, limits: Limits = Limits()) -
     schema = f"doc_id {doc_kind.simpleString()}, item_id {item_kind.simpleString()}, score double, first_word bigint, end_word bigint, n_words bigint"
     out = None
     for block in item_blocks(items):
-        rows = docs.select("doc_id", "text").mapInArrow(hit_writer(rare_seeds(docs, block, limits), limits, to_arrow_type(item_kind)), schema)
+        rows = docs.select("doc_id", "text").mapInArrow(hit_writer(seeds_of(block, limits.n), limits, to_arrow_type(item_kind)), schema)
         out = rows if out is None else out.union(rows)
     return out
 
@@ -217,7 +207,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, limits: Limits = Limits())
     """`docs` without the rows whose text holds a test item; all columns stay, nothing is shuffled."""
     T.small_batches(docs.sparkSession)
     for block in item_blocks(items):
-        docs = docs.mapInArrow(hit_filter(rare_seeds(docs, block, limits), limits), docs.schema)
+        docs = docs.mapInArrow(hit_filter(seeds_of(block, limits.n), limits), docs.schema)
     return docs
 
 
