@@ -303,6 +303,28 @@ def test_components_as_brute_force(docs, n, percent):
     assert {r.component_id for r in got if r.doc_id is None} == {root(4), None}
 
 
+@pytest.mark.parametrize("percent", [90, 80])
+def test_group_bound_is_below_every_member(spark, percent):
+    """What a member of any size within a group's needs is never less than the bound of the group."""
+    sizes = spark.range(1, 121).select(F.col("id").alias("n"))
+    least = sizes.select("n", F.explode(F.sequence(F.ceil(F.col("n") * percent / 100 - 1e-9), F.floor(F.col("n") * 100 / F.lit(percent) + 1e-9))).alias("s"))
+    n, s = F.col("n"), F.col("s")
+    shared = F.greatest(jaccard_join.rest(n, percent), jaccard_join.rest(s, percent))
+    least = least.withColumn("least", jaccard_join.needed(n, s, percent) - shared)
+    spans = least.alias("x").join(least.select("n", F.col("s").alias("low")).alias("l"), "n").join(least.select("n", F.col("s").alias("high")).alias("h"), "n")
+    spans = spans.filter("low <= s AND s <= high").withColumn("bound", jaccard_join.group_bound(n, F.col("low"), F.col("high"), percent))
+    assert spans.filter("bound > least").count() == 0
+    # No slack beyond the rounding: a group of one size is bounded by that size within one token.
+    assert spans.filter("low = high AND least > 0 AND bound < least - 1").count() == 0
+
+
+def test_families_of_short_texts_link_across_sizes(spark):
+    """Set 28 and member 29 share one prefix token; the member's group spans 27 to 30 (90 %)."""
+    member = spark.createDataFrame([(1, 27, 1), (2, 29, 1), (3, 30, 1), (9, 28, 9)], "id long, n long, group long")
+    shared = spark.createDataFrame([(7, 2, 29), (7, 9, 28), (5, 1, 27), (5, 3, 30)], "token long, id long, n long")
+    assert (9, 2) in {(r.a, r.b) for r in jaccard_join.opened(shared, member, 90).collect()}
+
+
 def test_join_of_nothing(empty):
     assert jaccard_join.jaccard_components(empty, 3, 90).count() == 0
 

@@ -232,12 +232,20 @@ def opened(shared: DataFrame, member: DataFrame, percent: int) -> DataFrame:
     high = F.least(F.col("high"), F.floor(F.col("n") * 100 / F.lit(percent) + F.lit(1e-9)))
     # The set whose prefix ends first has all shared tokens of its prefix in the other's prefix, so the
     # shared tokens are at most k plus what lies behind that prefix.
-    bound = F.least(needed(F.col("n"), low, percent) - rest(F.col("n"), percent), needed(F.col("n"), high, percent) - rest(high, percent))
-    open_groups = hits.join(span, "group").filter((low <= high) & (F.col("k") >= bound)).select("a", F.col("n").alias("na"), "group")
+    open_groups = hits.join(span, "group").filter((low <= high) & (F.col("k") >= group_bound(F.col("n"), low, high, percent)))
+    open_groups = open_groups.select("a", F.col("n").alias("na"), "group")
     members = member.select(F.col("id").alias("b"), F.col("n").alias("nb"), "group")
     return open_groups.join(members, "group").filter(sizes_fit(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
 
 
+def group_bound(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """Shared prefix tokens that a set of n needs with any member of low ... high tokens, or fewer."""
+    # needed() less rest() of the member is more than (n + s) p / (100 + p) - s p / 100. Unrounded it falls
+    # with s; rounded up it does not, so the whole number after its value at `high` is the bound.
+    behind = F.floor((n * 100 - high * percent) * percent / F.lit(100 * (100 + percent))) + 1
+    return F.least(needed(n, low, percent) - rest(n, percent), behind)
+
+
 def plausible(pairs: DataFrame, prefix: DataFrame, percent: int) -> DataFrame:
     """The pairs whose prefixes share enough: the set whose prefix ends first has all its shared prefix
     tokens in the other's prefix, so no more can be shared than these and what lies behind it."""
