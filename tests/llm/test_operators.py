@@ -430,6 +430,24 @@ def test_equal_passages_meet_whatever_documents_share_their_words(spark):
     assert max(r.end_word - r.first_word for r in held) >= 65
 
 
+def test_near_passage_beside_other_shared_words_is_found():
+    """A stray shared phrase, or a heavily edited part, behind a near passage does not hide it."""
+    rng = np.random.default_rng(14)
+
+    def shingled(words):
+        return np.array([hash(tuple(words[i : i + 5])) & 0xFFFFFFFF for i in range(len(words) - 4)], dtype=np.uint32)
+
+    for trial in range(60):
+        fresh = itertools.count(1000 * trial)
+        take = lambda n: [next(fresh) for _ in range(n)]
+        part, at = take(52), int(rng.integers(5, 47))
+        phrases = [take(8) for _ in range(1 if trial % 2 else 6)]
+        a = take(20) + part + [w for p in phrases for w in take(4) + p] + take(20)
+        b = take(33) + part[:at] + take(1) + part[at + 1 :] + [w for p in phrases for w in take(4) + p] + take(20)
+        found = substring_dedup.similar_passages(shingled(a), shingled(b), [20 - 33], 50, 80)
+        assert any(p[0] <= 21 and p[1] >= 71 and p[2] <= 34 and p[3] >= 84 and p[4] >= 0.8 for p in found)
+
+
 def test_compact_windows_are_the_cartesian_tree():
     rng = np.random.default_rng(1)
     for _ in range(100):
