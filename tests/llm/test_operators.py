@@ -430,6 +430,21 @@ def test_equal_passages_meet_whatever_documents_share_their_words(spark):
     assert max(r.end_word - r.first_word for r in held) >= 65
 
 
+def test_near_passages_with_a_word_put_in_or_left_out_meet(spark):
+    """Passages of 52 to 70 words, one word changed, put in or left out: nearly all pairs are found."""
+    rng = random.Random(13)
+    rows, planted = [], set()
+    for i in range(120):
+        part = prose(rng, (52, 55, 60, 70)[i % 4], 50000).split(" ")
+        copy, at = list(part), rng.randrange(5, len(part) - 5)
+        copy[at : at + (i // 4 % 3 != 1)] = [] if i // 4 % 3 == 2 else ["new"]
+        rows += [(2 * i + k, " ".join([prose(rng, 60, 50000), *x, prose(rng, 60, 50000)])) for k, x in enumerate((part, copy))]
+        planted.add((2 * i + 1, 2 * i))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    found = {(r.doc_id, r.like_doc_id) for r in got}
+    assert found <= planted and len(found) >= 0.97 * len(planted)
+
+
 def test_near_passage_beside_other_shared_words_is_found():
     """A stray shared phrase, or a heavily edited part, behind a near passage does not hide it."""
     rng = np.random.default_rng(14)
