@@ -106,3 +106,50 @@ x AS (SELECT k.*, c.k IS NOT NULL AND doc_id <> keeper AS dropped FROM k LEFT JO
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
 FROM x GROUP BY r, doc_id"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _levels(name: str, start: str, keys: str) -> str:
+    """Nodes (keys, level, place, n, digest) of binary trees from their leaves up."""
+    return f"""{name} AS (SELECT {keys}, 0 AS level, place, n, digest FROM {start} UNION ALL
+  SELECT {keys}, level + 1, place // 2, (max(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY place)) FROM {name} WHERE n > 1
+  GROUP BY {keys}, level, place // 2)"""
+
+
+def _climb(name: str, start: str, nodes: str, keys: str) -> str:
+    """Every leaf's way up: folded digest and siblings so far."""
+    same = " AND ".join(f"x.{k} IS NOT DISTINCT FROM c.{k}" for k in keys.split(", "))
+    held = ", ".join(f"c.{k}" for k in keys.split(", "))
+    return f"""{name} AS (SELECT r, {keys}, 0 AS level, place, n, folded, siblings FROM {start} UNION ALL
+  SELECT c.r, {held}, c.level + 1, c.place // 2, (c.n + 1) // 2,
+    sha256(CASE WHEN x.digest IS NULL THEN c.folded WHEN c.place % 2 = 1 THEN x.digest || c.folded ELSE c.folded || x.digest END),
+    c.siblings || coalesce(x.digest, '')
+  FROM {name} c LEFT JOIN {nodes} x ON {same} AND x.level = c.level AND x.place = xor(c.place, 1) WHERE c.n > 1)"""
+
+
+MERKLE_PROOFS = f"""
+WITH RECURSIVE t AS (SELECT list({_CRC_ROW} ORDER BY i) AS t FROM range(256) r(i)),
+h AS (SELECT *, row_number() OVER () AS r, hex(encode(doc_id::VARCHAR)) AS h FROM documents),
+d AS (SELECT h.*, coalesce(xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        [('0x' || substr(h, 2 * i + 1, 2))::BIGINT FOR i IN range(strlen(h) // 2)]),
+        lambda c, b: xor(t.t[xor(c, b) % 256 + 1], c >> 8))) % 7 = 0, false) AS hit FROM h, t),
+f AS (SELECT r, doc_id, lang, {_leaf('n_chars')} AS digest, {_leaf('(n_chars + hit::BIGINT)')} AS folded FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, digest) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n,
+        '' AS siblings FROM f),
+{_levels('b', 'p', 'lang')},
+s AS (SELECT lang, digest AS subroot FROM b WHERE n = 1),
+l AS (SELECT 0 AS one, lang, subroot AS digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM s),
+{_levels('u', 'l', 'one')},
+{_climb('c', 'p', 'b', 'lang')},
+m AS (SELECT r, l.one, l.place, l.n, folded, siblings FROM c JOIN l ON l.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1),
+{_climb('v', 'm', 'u', 'one')}
+SELECT p.doc_id, p.digest AS leaf, s.subroot, u.digest AS root, sha256(v.siblings) AS proof_sha256, v.folded AS folded_root,
+  v.folded = u.digest AS verified
+FROM p JOIN v ON v.r = p.r AND v.n = 1 JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN u ON u.n = 1"""

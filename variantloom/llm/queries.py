@@ -11,6 +11,7 @@ from variantloom.llm.decontamination import contaminated
 from variantloom.llm.jaccard_join import jaccard_components
 from variantloom.llm.license_scan import licence_paragraphs
 from variantloom.llm.line_dedup import deduplicated
+from variantloom.llm.merkle import manifest_proofs
 from variantloom.llm.mixing import mixed
 from variantloom.llm.quality_classifier import quality_scores
 from variantloom.llm.quality_rules import judged
@@ -93,3 +94,8 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_licences")
 def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest", checks.MERKLE_PROOFS)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_proofs(table(spark, sf_dir, "documents"))
