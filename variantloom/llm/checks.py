@@ -153,3 +153,20 @@ m AS (SELECT r, l.one, l.place, l.n, folded, siblings FROM c JOIN l ON l.lang IS
 SELECT p.doc_id, p.digest AS leaf, s.subroot, u.digest AS root, sha256(v.siblings) AS proof_sha256, v.folded AS folded_root,
   v.folded = u.digest AS verified
 FROM p JOIN v ON v.r = p.r AND v.n = 1 JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN u ON u.n = 1"""
+
+
+def _terms(text: str) -> str:
+    return r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(LOWER.format(text=f"coalesce({text}, '')"))
+
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS t FROM documents),
+s AS (SELECT count(*)::BIGINT AS n, sum(len(t))::BIGINT AS words FROM d WHERE len(t) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_terms('text')}) AS t FROM benchmark),
+p AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS t FROM d) GROUP BY ALL),
+f AS (SELECT t, count(*) AS df FROM p WHERE t IN (SELECT t FROM q) GROUP BY t),
+w AS (SELECT t, floor(1000 * ln((2 * s.n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, s),
+k AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * p.n * s.n) // s.words))))::BIGINT AS score
+  FROM q JOIN p USING (t) JOIN w USING (t), s GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST, r) AS rank FROM k WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 50"""

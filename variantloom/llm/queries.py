@@ -9,10 +9,12 @@ from variantloom.llm import checks
 from variantloom.llm.class_lm import lm_scores
 from variantloom.llm.decontamination import contaminated
 from variantloom.llm.jaccard_join import jaccard_components
+from variantloom.llm.lexical_search import search
 from variantloom.llm.license_scan import licence_paragraphs
 from variantloom.llm.line_dedup import deduplicated
 from variantloom.llm.merkle import manifest_proofs
 from variantloom.llm.mixing import mixed
+from variantloom.llm.page_text import page_texts
 from variantloom.llm.quality_classifier import quality_scores
 from variantloom.llm.quality_rules import judged
 from variantloom.llm.registry import query, table
@@ -96,6 +98,17 @@ def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_paragraphs(table(spark, sf_dir, "documents"))
 
 
+@query("op11_page_text")
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(table(spark, sf_dir, "pages"))
+
+
 @query("op12_merkle_manifest", checks.MERKLE_PROOFS)
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_proofs(table(spark, sf_dir, "documents"))
+
+
+@query("op13_lexical_search", checks.LEXICAL_SEARCH)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), "text")
+    return search(table(spark, sf_dir, "documents"), items).withColumnRenamed("query", "item_id")

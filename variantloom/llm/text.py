@@ -112,11 +112,11 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def words(column: pa.Array, lower: bool = False) -> Words:
-    """Words of each text of an Arrow column."""
+def words(column: pa.Array, lower: bool = False, separators: np.ndarray = IS_SPACE) -> Words:
+    """Words of each text of an Arrow column; `separators` says for each byte whether it ends words."""
     data, rows = buffers(column)
     n = len(data)
-    space = IS_SPACE[data]
+    space = separators[data]
     before = np.ones(n, dtype=bool)
     before[1:] = space[:-1]
     after = np.ones(n, dtype=bool)
@@ -167,6 +167,16 @@ def row_ngrams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams[at], row[at], at
 
 
+def row_sums(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and count of each distinct hash of a row; `row` rises."""
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+    first = np.flatnonzero(new)
+    return row[first], hashes[first], np.diff(np.append(first, len(row)))
+
+
 def pieces(batch: pa.RecordBatch, column: str, size: int = BLOCK * 4) -> list[pa.RecordBatch]:
     """A batch cut into runs of rows whose text has about `size` bytes, at least one row each."""
     lengths = np.diff(buffers(batch.column(column))[1])
