@@ -23,7 +23,7 @@ WIDTH = 1 << BAND
 BLOCK_BITS = 2 * BAND
 RECURSION_ROWS = "spark.sql.cteRecursionRowLimit"
 
-NODES = "tree bigint, rung int, at bigint, siblings array<struct<digest:binary,left:boolean>>, parent bigint, last boolean"
+NODES = "tree bigint, rung int, at bigint, siblings binary, steps string, parent bigint, last boolean"
 
 
 def field(value: Column) -> Column:
@@ -50,8 +50,9 @@ def leaf(columns: Sequence[str], **changed: Column) -> Column:
 class Manifest:
     """A stored manifest.
 
-    leaves: the rows given, with tree and place; trees: group, tree, size, subroot;
-    nodes: the parent-linked rows; top: the root, one row, or none for an empty table.
+    leaves: the rows given, with tree, place, and siblings and steps of their first band; trees: group, tree, size,
+    subroot; nodes: the parent-linked rows of all bands above; top: the root, one row, or none for an empty table.
+    Siblings are joined digests, steps say where each belongs: "l" left, "r" right, "-" none.
     """
 
     leaves: DataFrame
@@ -91,7 +92,7 @@ def ordered(rows: DataFrame, group: str, order: Sequence[str]) -> tuple[DataFram
     )
     kept = [c for c in rows.columns if c != "_row"]
     out = numbered.select("p.*", "tree", "size", "_start").withColumn("place", (F.col("_start") + at - 1).cast("bigint"))
-    return written(out.select(*kept, "tree", "size", "place"), "merkle-leaves"), trees
+    return out.select(*kept, "tree", "size", "place"), trees
 
 
 def halved(size: Column, times: int) -> Column:
@@ -107,30 +108,29 @@ def level_above(level: Column) -> Column:
     )
 
 
-def band(nodes: DataFrame, name: str) -> DataFrame:
-    """One band over nodes (tree, size, place, digest): a row per WIDTH of them.
+def band(nodes: DataFrame, name: str, payload: Sequence[str] = ()) -> DataFrame:
+    """One band over nodes (tree, size, place, digest, payload): a row per WIDTH of them. Trees of one node end.
 
-    tree, size, place (of the group), kids (place, siblings), digest (of the group's own node). Trees of one node end.
+    tree, size, place (of the group), kids (place, payload, siblings, steps), digest (of the group's own node).
     """
     runs = nodes.filter("size > 1").groupBy("tree", "size", F.shiftright("place", BAND).alias("up")).agg(
-        F.sort_array(F.collect_list(F.struct("place", hex_text(F.col("digest")).alias("digest")))).alias("run")
+        F.sort_array(F.collect_list(F.struct("place", *payload, F.col("digest").alias("_digest")))).alias("run")
     )
-    levels = runs.withColumn("_l0", F.transform("run", lambda x: x["digest"]))
+    levels = runs.withColumn("_l0", F.transform("run", lambda x: hex_text(x["_digest"])))
     for j in range(BAND):
         above = F.when(halved(F.col("size"), j) > 1, level_above(F.col(f"_l{j}"))).otherwise(F.col(f"_l{j}"))
         levels = levels.withColumn(f"_l{j + 1}", above)
-    depth = reduce(lambda a, b: a + b, [(halved(F.col("size"), j) > 1).cast("int") for j in range(BAND)])
 
     def way(x: Column) -> Column:
         at = x["place"].cast("int").bitwiseAND(WIDTH - 1)
+        told = [F.when(halved(F.col("size"), j) > 1, F.get(f"_l{j}", F.shiftright(at, j).bitwiseXOR(1))) for j in range(BAND)]
         steps = [
-            F.struct(
-                F.unhex(F.get(f"_l{j}", F.shiftright(at, j).bitwiseXOR(1))).alias("digest"),
-                (F.shiftright(at, j).bitwiseAND(1) == 1).alias("left"),
-            )
+            F.when(halved(F.col("size"), j) <= 1, "").when(told[j].isNull(), "-").when(F.shiftright(at, j).bitwiseAND(1) == 1, "l").otherwise("r")
             for j in range(BAND)
         ]
-        return F.struct(x["place"].alias("place"), F.slice(F.array(*steps), F.lit(1), depth).alias("siblings"))
+        return F.struct(
+            x["place"].alias("place"), *[x[c].alias(c) for c in payload], F.unhex(F.concat_ws("", *told)).alias("siblings"), F.concat(*steps).alias("steps")
+        )
 
     return written(
         levels.select(
@@ -140,12 +140,12 @@ def band(nodes: DataFrame, name: str) -> DataFrame:
     )
 
 
-def bands(leaves: DataFrame, largest: int, name: str) -> tuple[list[DataFrame], DataFrame]:
-    """All bands above leaves (tree, size, place, digest), and the root of each tree (tree, digest)."""
+def bands(leaves: DataFrame, largest: int, name: str, payload: Sequence[str] = ()) -> tuple[list[DataFrame], DataFrame]:
+    """All bands above leaves (tree, size, place, digest, payload), and the root of each tree (tree, digest)."""
     roots = [leaves.filter("size = 1").select("tree", "digest")]
     found, nodes = [], leaves
     while largest > 1:
-        found.append(band(nodes, f"{name}-{len(found)}"))
+        found.append(band(nodes, f"{name}-{len(found)}", () if found else payload))
         largest = -(-largest // WIDTH)
         nodes = found[-1].select("tree", halved(F.col("size"), BAND).alias("size"), "place", "digest")
         roots.append(nodes.filter("size = 1").select("tree", "digest"))
@@ -153,44 +153,37 @@ def bands(leaves: DataFrame, largest: int, name: str) -> tuple[list[DataFrame],
 
 
 def band_count(size: Column) -> Column:
-    """How many bands a tree of `size` leaves has."""
-    return reduce(lambda a, b: a + b, [(size > F.lit(1 << BAND * r).cast("bigint")).cast("int") for r in range(10)])
-
-
-def ats(rung: Column, size: Column) -> Column:
-    """Addresses under which the rows above the second band are stored: one for each block of leaves."""
-    return F.sequence(F.lit(0).cast("bigint"), F.when(rung < 2, F.lit(0).cast("bigint")).otherwise(F.shiftright(size - 1, BLOCK_BITS)))
+    """How many bands a tree of `size` leaves has; that of a single leaf has an empty one."""
+    return reduce(lambda a, b: a + b, [(size > F.lit(1 << BAND * r).cast("bigint")).cast("int") for r in range(1, 10)], F.lit(1))
 
 
 def node_rows(own: list[DataFrame], above: list[DataFrame], trees: DataFrame, n_trees: int) -> DataFrame:
-    """The parent-linked rows: band r of a row's own tree is rung r, the bands over the trees follow."""
-    parent = F.when(F.col("rung") < 2, F.shiftright("at", BAND)).otherwise(F.col("at"))
+    """The parent-linked rows above the leaves' first band.
+
+    Band r of a tree is rung r, the bands over the trees follow. A row of the second band serves WIDTH leaves; above,
+    there is a row for each block of leaves, so that no address is asked by more.
+    """
     rows = []
-    for r, groups in enumerate(own):
-        size = F.col("size")  # nodes of this band's level
-        kids = groups.select("tree", "size", F.inline("kids"))
+    for r, groups in enumerate(own[1:], 1):
+        kids = groups.select("tree", (halved(F.col("size"), BAND) == 1).alias("_top"), F.inline("kids"))
         spread = BAND * (r - 2)
-        if r >= 2:
-            # Blocks of the tree are known from trees, as sizes of levels are rounded up.
+        if r == 1:
+            kids = kids.withColumn("at", F.col("place"))
+        else:
             blocks = trees.select("tree", F.shiftright(F.col("size") - 1, BLOCK_BITS).alias("_last"))
-            kids = kids.join(small_side(blocks), "tree")
             last = F.least("_last", F.shiftleft(F.col("place") + 1, spread) - 1)
-            kids = kids.withColumn("at", F.explode(F.sequence(F.shiftleft("place", spread), last)))
-        else:
-            kids = kids.withColumn("at", F.col("place"))
-        top = (halved(size, BAND) == 1) & F.lit(n_trees == 1)
-        rows.append(kids.select("tree", F.lit(r).alias("rung"), "at", "siblings", top.alias("last")))
+            kids = kids.join(small_side(blocks), "tree").withColumn("at", F.explode(F.sequence(F.shiftleft("place", spread), last)))
+        rows.append(kids.select("tree", F.lit(r).alias("rung"), "at", "siblings", "steps", (F.col("_top") & F.lit(n_trees == 1)).alias("last")))
     for j, groups in enumerate(above):
         kids = groups.select(F.inline("kids")).withColumnRenamed("place", "_place")
         each = trees.select("tree", "size", F.shiftright("tree", BAND * j).alias("_place"), (band_count(F.col("size")) + j).alias("rung"))
-        placed = each.join(small_side(kids), "_place")
-        rows.append(
-            placed.select("tree", "rung", F.explode(ats(F.col("rung"), F.col("size"))).alias("at"), "siblings", F.lit(j == len(above) - 1).alias("last"))
-        )
+        blocks = F.when(F.col("rung") == 1, F.lit(0).cast("bigint")).otherwise(F.shiftright(F.col("size") - 1, BLOCK_BITS))
+        placed = each.join(small_side(kids), "_place").withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)))
+        rows.append(placed.select("tree", "rung", "at", "siblings", "steps", F.lit(j == len(above) - 1).alias("last")))
     if not rows:
         return trees.sparkSession.createDataFrame([], NODES)
-    united = reduce(DataFrame.unionByName, rows)
-    return united.select("tree", "rung", "at", "siblings", parent.alias("parent"), "last")
+    parent = F.when(F.col("rung") == 1, F.shiftright("at", BAND)).otherwise(F.col("at"))
+    return reduce(DataFrame.unionByName, rows).select("tree", "rung", "at", "siblings", "steps", parent.alias("parent"), "last")
 
 
 def build_manifest(rows: DataFrame, group: str, order: Sequence[str]) -> Manifest:
@@ -199,12 +192,17 @@ def build_manifest(rows: DataFrame, group: str, order: Sequence[str]) -> Manifes
     While several nodes remain, each two consecutive ones become the digest of their hex texts, an odd
     last one of its own. Groups go by value, NULL first. Rows equal in `order` and digest are
     interchangeable; those that differ go by digest. An empty table has no root. The table must not hold columns
-    tree, size, place or any that start with "_".
+    tree, size, place, siblings, steps, or any that start with "_".
     """
-    leaves, trees = ordered(written(rows, "merkle-rows"), group, [*order, "digest"])
+    numbered, trees = ordered(written(rows, "merkle-rows"), group, [*order, "digest"])
+    payload = rows.columns
+    numbered = numbered.select(*payload, "tree", "size", "place")
     sizes = trees.agg(F.count(F.lit(1)).alias("trees"), F.max("size").alias("largest")).first()
     n_trees = sizes["trees"]
-    own, subroots = bands(leaves.select("tree", "size", "place", "digest"), sizes["largest"] or 0, "merkle-band")
+    own, subroots = bands(numbered, sizes["largest"] or 0, "merkle-band", payload)
+    leaves = numbered.filter("size = 1").select(*payload, "tree", "place", F.lit(b"").alias("siblings"), F.lit("").alias("steps"))
+    if own:
+        leaves = leaves.unionByName(own[0].select("tree", F.inline("kids")))
     trees = written(trees.join(subroots, "tree").select(group, "tree", "size", F.col("digest").alias("subroot")), "merkle-subroots")
     crowns = trees.select(F.lit(0).cast("bigint").alias("tree"), F.lit(n_trees).cast("bigint").alias("size"), F.col("tree").alias("place"), F.col("subroot").alias("digest"))
     above, top = bands(crowns, n_trees, "merkle-crown")
@@ -223,32 +221,37 @@ def unbounded_recursion(spark: SparkSession):
         spark.conf.set(RECURSION_ROWS, before)
 
 
-CLIMB = """
+FOLD = """aggregate(sequence(1, length({steps})), named_struct('f', {folded}, 'at', 1), (x, i) -> CASE substr({steps}, i, 1)
+    WHEN '-' THEN named_struct('f', unhex(sha2(lower(hex(x.f)), 256)), 'at', x.at)
+    WHEN 'l' THEN named_struct('f', unhex(sha2(lower(hex(concat(substring({siblings}, x.at, 32), x.f))), 256)), 'at', x.at + 32)
+    ELSE named_struct('f', unhex(sha2(lower(hex(concat(x.f, substring({siblings}, x.at, 32)))), 256)), 'at', x.at + 32) END, x -> x.f)"""
+# sequence(1, 0) would count down.
+FOLD = "CASE WHEN {steps} = '' THEN {folded} ELSE " + FOLD + " END"
+FIRST = FOLD.format(steps="steps", folded="claimed", siblings="siblings")
+NEXT = FOLD.format(steps="n.steps", folded="c.folded", siblings="n.siblings")
+
+CLIMB = f"""
 WITH RECURSIVE climb AS (
-  SELECT {kept}, tree, 0 AS rung, place AS at, claimed AS folded, X'' AS siblings, lone AS done FROM {{claims}}
+  SELECT {{kept}}, tree, 1 AS rung, shiftright(place, {BAND}) AS at, {FIRST} AS folded, siblings, alone AS done FROM {{{{claims}}}}
   UNION ALL
-  SELECT {held}, c.tree, c.rung + 1, n.parent,
-    aggregate(n.siblings, c.folded, (f, s) -> unhex(sha2(CASE
-      WHEN s.digest IS NULL THEN lower(hex(f)) WHEN s.left THEN lower(concat(hex(s.digest), hex(f))) ELSE lower(concat(hex(f), hex(s.digest))) END, 256))),
-    aggregate(n.siblings, c.siblings, (f, s) -> CASE WHEN s.digest IS NULL THEN f ELSE concat(f, s.digest) END),
-    n.last
-  FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.rung = n.rung AND c.at = n.at
+  SELECT {{held}}, c.tree, c.rung + 1, n.parent, {NEXT}, concat(c.siblings, n.siblings), n.last
+  FROM climb c JOIN {{{{nodes}}}} n ON c.tree = n.tree AND c.rung = n.rung AND c.at = n.at
 )
-SELECT {kept}, tree, folded, siblings FROM climb WHERE done"""
+SELECT {{kept}}, tree, folded, siblings FROM climb WHERE done"""
 
 
 def climbed(manifest: Manifest, claims: DataFrame, kept: Sequence[str]) -> DataFrame:
-    """`kept`, tree, folded and siblings of every claim (tree, place, claimed digest).
+    """`kept`, tree, folded and siblings of every claim: a row of the manifest's leaves with a claimed digest.
 
     folded is the root that the claimed digest leads to; siblings are the digests met on the way, joined.
     A claim takes part in a join per band; no address there serves more than a block's rows.
     """
-    lone = F.lit(manifest.nodes.isEmpty())  # a single row in all
-    rows = claims.select(*kept, "tree", "place", "claimed", lone.alias("lone"))
+    alone = F.lit(manifest.nodes.isEmpty())  # no band above the first
+    rows = claims.select(*kept, "tree", "place", "claimed", "siblings", "steps", alone.alias("alone"))
     spark = rows.sparkSession
     sql = CLIMB.format(kept=", ".join(kept), held=", ".join(f"c.{c}" for c in kept))
     with unbounded_recursion(spark):
-        return written(spark.sql(sql, claims=rows, nodes=manifest.nodes), "merkle-climb")
+        return written(spark.sql(sql, claims=rows, nodes=small_side(manifest.nodes)), "merkle-climb")
 
 
 LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -265,7 +268,7 @@ def manifest_proofs(docs: DataFrame) -> DataFrame:
     changed = F.when(hit, leaf(LEAF, n_chars=F.col("n_chars") + 1))
     rows = docs.select("doc_id", "lang", leaf(LEAF).alias("digest"), changed.alias("changed"))
     manifest = build_manifest(rows, "lang", ["doc_id"])
-    claims = manifest.leaves.select("doc_id", "digest", "tree", "place", F.coalesce("changed", "digest").alias("claimed"))
+    claims = manifest.leaves.withColumn("claimed", F.coalesce("changed", "digest"))
     proofs = climbed(manifest, claims, ["doc_id", "digest"])
     roots = proofs.join(small_side(manifest.trees.select("tree", "subroot")), "tree")
     root = manifest.top.select(hex_text(F.col("root"))).scalar()
