@@ -82,6 +82,39 @@ def test_overlaps_equal_all_pairs(spark, broadcast_rows, width):
     assert ("BroadcastHashJoin" in plan) == (broadcast_rows > 0)
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 100_000])
+def test_long_intervals_meet_short_ones(spark, broadcast_rows):
+    """Runs of 100 Mb and short ones on both sides, on the edges of bins of every level."""
+    random.seed(broadcast_rows)
+    edges = [64 * 16**i for i in range(6)]
+
+    def some(n):
+        out = []
+        for i in range(n):
+            s = max(0, random.choice(edges) * random.randrange(1, 4) + random.randrange(-70, 70))
+            out.append(("chr1", s, s + random.choice([1, 63, 64, 65, 1024, 20_000, 1_000_000, 100_000_000]), f"n{i}"))
+        return out
+
+    a, b = some(150), some(150)
+    expected = [(ca, max(sa, sb), min(ea, eb), na, nb) for ca, sa, ea, na in a for cb, sb, eb, nb in b if sa < eb and sb < ea]
+    left, right = intervals(spark, a, ", READ string"), intervals(spark, b, ", GENE_EXON string")
+    got = I.overlaps(left, right, ["GENE_EXON"], bin_width=64, max_broadcast_rows=broadcast_rows)
+    assert rows(got) == sorted(expected, key=repr)
+
+
+def test_a_long_interval_is_a_row_or_two_per_level(spark):
+    genome = intervals(spark, [("chr1", 5, 100_000_000), ("chr1", 1 << 26, (1 << 26) + 150)])
+    for keys in (I.looking_keys([0, 1], I.JOIN_BIN), I.lying_keys(I.JOIN_BIN), I.looking_keys(range(I.LEVELS), I.JOIN_BIN)):
+        assert all(r[0] <= 2 * I.LEVELS for r in I.with_keys(genome, I.JOIN_BIN, keys).selectExpr("size(_keys)").collect())
+    # Looked up against exons only (the lowest levels), a long run is asked for in its own bins alone.
+    assert I.with_keys(genome, I.JOIN_BIN, I.looking_keys([0], I.JOIN_BIN)).selectExpr("size(_keys)").first()[0] <= 2
+
+
+def test_overlaps_with_nothing(spark):
+    some, none = intervals(spark, [("chr1", 5, 9), ("chr1", 9, 9)]), intervals(spark, [])
+    assert I.overlaps(some, none).count() == 0 and I.overlaps(none, some).count() == 0
+
+
 def test_depth_summary_matches_pandas(spark):
     data = [("chr1", i, i + 1, random.randrange(9), f"G{i % 3}_e{i % 5}_x") for i in range(60)]
     cover = spark.createDataFrame(data, "CHROM string, START bigint, END bigint, DEPTH bigint, EXON string")

@@ -107,6 +107,14 @@ def test_size_check(spark):
     assert "broadcast" not in small_side(df, 10)._jdf.queryExecution().analyzed().toString()
 
 
+def test_size_check_counts_binary_and_nested_cells(spark):
+    text = "repeat('x', 100000)"
+    for cell in (f"CAST({text} AS BINARY)", f"array({text})", "array_repeat(1, 10000)", f"map(1, {text})", f"struct({text} AS t)", f"array(struct(array({text})))"):
+        df = spark.range(10).selectExpr("id", f"{cell} AS c")
+        assert is_small(df, max_bytes=2_000_000) and not is_small(df, max_bytes=900_000), cell
+    assert is_small(spark.range(10).selectExpr("CAST(NULL AS BINARY) AS b", "CAST(NULL AS ARRAY<STRING>) AS a"), max_bytes=2_000)
+
+
 def session_without_folder(master):
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master))
 

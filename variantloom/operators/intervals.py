@@ -1,6 +1,6 @@
 """Half-open genome intervals: depth runs, overlap joins, depth summaries.
 
-The genome is cut into fixed bins, so no step gathers a whole chromosome in one task.
+The genome is cut into bins, so no step gathers a whole chromosome in one task.
 """
 
 from __future__ import annotations
@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from variantloom.functions.labels import col
-from variantloom.session import BROADCAST_ROWS, small_side
+from variantloom.session import BROADCAST_BYTES, BROADCAST_ROWS, row_bytes
 
 DEPTH_BIN = 1 << 17
-JOIN_BIN = 1 << 14
+# Overlap joins: width of the lowest level's bins, how much wider each level is than the one below, and how many levels there are.
+JOIN_BIN = 1 << 10
+LEVEL_BITS = 4
+LEVELS = 8
 
 
 def bin_of(position: Column, width: int) -> Column:
@@ -78,10 +81,45 @@ def depth_runs(
     return runs.filter("END IS NOT NULL")
 
 
-def in_bins(df: DataFrame, width: int) -> DataFrame:
-    """Copy each interval to every bin it touches."""
-    bins = F.sequence(bin_of(F.col("START"), width), bin_of(F.col("END") - 1, width))
-    return df.filter("START < END").withColumn("_bin", F.explode(bins))
+def level_of(width: int) -> Column:
+    """The level whose bins are the smallest that are at least as wide as the interval."""
+    length = F.col("END") - F.col("START")
+    return reduce(lambda a, b: a + b, [(length > F.lit(width << LEVEL_BITS * i)).cast("int") for i in range(LEVELS - 1)])
+
+
+def bin_keys(level: int, width: int, role: int) -> Column:
+    """Keys of the bins that the interval touches at a level; at its own or a higher one these are at most two."""
+    wide = width << LEVEL_BITS * level
+    bins = F.sequence(bin_of(F.col("START"), wide), bin_of(F.col("END") - 1, wide))
+    return F.transform(bins, lambda b: (b * LEVELS + level) * 2 + role)
+
+
+def when_level(condition: Column, keys: Column) -> Column:
+    return F.when(condition, keys).otherwise(F.array().cast("array<bigint>"))
+
+
+def looking_keys(levels: Sequence[int], width: int) -> Column:
+    """Keys under which an interval looks up intervals of the given levels.
+
+    Role 0: bins of each level that is not below its own. Role 1: its own bins, for all that lie below.
+    """
+    own = F.col("_level")
+    parts = [when_level(own <= i, bin_keys(i, width, 0)) for i in levels]
+    parts += [when_level(own == i, bin_keys(i, width, 1)) for i in range(min(levels) + 1, LEVELS)] if levels else []
+    return F.concat(*parts) if parts else F.array().cast("array<bigint>")
+
+
+def lying_keys(width: int) -> Column:
+    """Keys under which an interval is found: its own bins (role 0), and those above them (role 1)."""
+    own = F.col("_level")
+    parts = [when_level(own == i, bin_keys(i, width, 0)) for i in range(LEVELS)]
+    parts += [when_level(own < i, bin_keys(i, width, 1)) for i in range(1, LEVELS)]
+    return F.concat(*parts)
+
+
+def with_keys(df: DataFrame, width: int, keys: Column) -> DataFrame:
+    """Non-empty intervals with _level and _keys."""
+    return df.filter("START < END").withColumn("_level", level_of(width)).withColumn("_keys", keys)
 
 
 def overlaps(
@@ -94,28 +132,35 @@ def overlaps(
 ) -> DataFrame:
     """Rows of `a` clipped to each overlapping interval of `b`, plus columns of `b`.
 
-    Equi-join on (chromosome, bin); a pair counts only in the bin where its overlap
-    starts, so each pair comes out once. `b` is broadcast when a bounded count shows
-    it to be small (no shuffle of `a`); else AQE splits crowded bins of the shuffle join.
+    Bins are nested: those of a level are 2**LEVEL_BITS times as wide as those below. An interval belongs to the level
+    whose bins are just as wide as it is long, so it touches one or two of them however long it is, and what
+    shares its bin is not much shorter. Two intervals meet at the level of the longer one, in the bin
+    where their overlap starts: an equi-join on (chromosome, bin), and each pair comes out once. `b`
+    is read once for its size and its levels, then broadcast if small (no shuffle of `a`); else
+    AQE splits crowded bins of the shuffle join.
     """
     by = list(by)
-    right = in_bins(
-        b.select(*by, F.col("START").alias("START"), F.col("END").alias("END"), *[col(c) for c in b_columns]),
-        bin_width,
+    narrow = b.select(
+        *by, F.col("START").cast("bigint").alias("START"), F.col("END").cast("bigint").alias("END"), *[col(c).alias(f"_b_{c}") for c in b_columns]
     )
-    right = small_side(
-        right.select(
-            *by, "_bin", F.col("START").alias("_bs"), F.col("END").alias("_be"),
-            *[col(c).alias(f"_b_{c}") for c in b_columns],
-        ),
-        max_broadcast_rows,
+    right = with_keys(narrow, bin_width, lying_keys(bin_width))
+    found = right.agg(
+        F.sum(F.size("_keys")).alias("rows"), F.sum(row_bytes(narrow) * F.size("_keys")).alias("bytes"), F.collect_set("_level").alias("levels")
+    ).first()
+    small = (found["rows"] or 0) <= max_broadcast_rows and (found["bytes"] or 0) <= BROADCAST_BYTES
+    right = right.select(
+        *by, F.explode("_keys").alias("_key"), F.col("START").alias("_bs"), F.col("END").alias("_be"), *[col(f"_b_{c}") for c in b_columns]
     )
-    left = in_bins(a, bin_width)
+    right = F.broadcast(right) if small and max_broadcast_rows > 0 else right.hint("merge")
+    left = with_keys(a, bin_width, looking_keys(sorted(found["levels"]), bin_width)).select(*[col(c) for c in a.columns], F.explode("_keys").alias("_key"))
     start = F.greatest("START", "_bs")
-    pairs = left.join(right, [*by, "_bin"]).filter(
+    # A key is (bin * LEVELS + level) * 2 + role.
+    level = F.pmod(F.shiftright("_key", 1), F.lit(LEVELS)).cast("int")
+    wide = F.element_at(F.array(*[F.lit(bin_width << LEVEL_BITS * i).cast("bigint") for i in range(LEVELS)]), level + 1)
+    pairs = left.join(right, [*by, "_key"]).filter(
         (F.col("START") < F.col("_be"))
         & (F.col("_bs") < F.col("END"))
-        & (bin_of(start, bin_width) == F.col("_bin"))
+        & (F.call_function("div", start, wide) * LEVELS + level == F.shiftright("_key", 1))
     )
     out = []
     for c in a.columns:

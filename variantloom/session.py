@@ -8,6 +8,7 @@ from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A join side within both bounds may be broadcast.
 BROADCAST_ROWS = 500_000
@@ -39,13 +40,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cell_bytes(cell: Column, kind: T.DataType) -> Column:
+    """Rough size of a cell: text and binary by their bytes, nested cells by what they hold, others by 16."""
+    base = F.lit(16).cast("bigint")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return base + F.coalesce(F.octet_length(cell), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            sizes = F.transform(cell, lambda x: cell_bytes(x, kind.elementType))
+            return base + F.coalesce(F.aggregate(sizes, base * 0, lambda total, x: total + x), F.lit(0))
+        return base + F.coalesce(F.size(cell), F.lit(0)) * 16
+    if isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        return cell_bytes(F.map_keys(cell), keys) + cell_bytes(F.map_values(cell), values)
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a + b, [cell_bytes(cell.getField(f.name), f.dataType) for f in kind.fields], base)
+    if isinstance(kind, T.VariantType):
+        return base + F.coalesce(F.octet_length(F.to_json(cell)), F.lit(0))
+    return base
+
+
 def row_bytes(df: DataFrame) -> Column:
-    """Rough size of a row: text by its bytes, other cells by 16."""
-    sizes = [
-        F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) if kind == "string" else F.lit(16)
-        for name, kind in df.dtypes
-    ]
-    return reduce(lambda a, b: a + b, sizes).cast("bigint")
+    """Rough size of a row."""
+    cells = [cell_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    return reduce(lambda a, b: a + b, cells, F.lit(0).cast("bigint"))
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:

@@ -31,6 +31,8 @@ from workload.relations import (
     ROWS,
     TRIO,
     TRIO_NAMES,
+    WIDE_EXONS,
+    WIDE_LENGTHS,
     base,
     check_sql,
     plain,
@@ -657,6 +659,16 @@ def annotate_genes(spark, sf_dir):
     return plain(J.coverage(reads(spark, sf_dir), exons(spark, sf_dir), bin_width=1 << 10))
 
 
+@query(
+    "uncovered_exons",
+    depth_sql("", ENDS, lengths=WIDE_LENGTHS, exons=WIDE_EXONS).strip() + f", {COVER} SELECT chrom, start_pos, end_pos, depth, exon FROM cover",
+)
+def uncovered_exons(spark, sf_dir):
+    """Exons by depth, also on chromosomes that are one zero run of 100 Mb."""
+    lengths, genes = variants(spark, sf_dir, WIDE_LENGTHS), variants(spark, sf_dir, WIDE_EXONS)
+    return plain(J.coverage(reads(spark, sf_dir), genes, lengths=lengths))
+
+
 def summary_sql(level: str) -> str:
     return cover_sql(
         f"""SELECT {level}, chrom, ROUND(AVG(depth), 6) AS mean, ROUND(STDDEV_SAMP(depth), 6) AS std, MIN(depth) AS lowest,

@@ -97,6 +97,13 @@ LENGTHS = """SELECT chrom, MAX(end_pos) + 50 AS length FROM (
   UNION ALL
   SELECT CONCAT('un', CAST(n_nationkey AS STRING)), 950 FROM {nation}) x GROUP BY chrom"""
 
+# Chromosomes of 100 Mb that no read reaches, and exons all along them.
+WIDE_EXONS = EXONS + """
+UNION ALL SELECT CONCAT('un', CAST(p_partkey % 25 AS STRING)), p_partkey * 4000 + 10, p_partkey * 4000 + 10 + p_size,
+  CONCAT(p_brand, '_', CAST(p_partkey AS STRING), 'u')
+FROM {part}"""
+WIDE_LENGTHS = LENGTHS.replace("950", "100000000")
+
 
 def code(i: int) -> str:
     return f"((l_partkey + {i} * 3 + l_suppkey) % 6)"
