@@ -82,6 +82,18 @@ def header_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("line").startswith("#")).select("file", "line")
 
 
+def headers_of(files: DataFrame) -> DataFrame:
+    """`#` lines of listed files (file), read where they are listed: file, line. No path passes the driver.
+
+    On storage that Arrow cannot open, Spark reads the text of the files by their paths instead.
+    """
+    first = files.select("file").limit(1).collect()
+    if not first or can_open(first[0]["file"]):
+        dealt = files.select("file").repartition("file")
+        return dealt.mapInPandas(leading_lines, "file string, line string")
+    return header_lines(read_lines(files.sparkSession, [row["file"] for row in files.select("file").collect()]))
+
+
 def leading_lines(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
     """The `#` lines of each listed file, up to the first record."""
     for batch in batches:

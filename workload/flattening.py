@@ -400,6 +400,16 @@ BUILT = """SELECT * REPLACE (CASE WHEN sample LIKE 'P1%' THEN sample || '_proc'
   FROM every WHERE sample NOT LIKE 'P1%' OR zigosity = 'HOM'"""
 
 
+def superseded_samples(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of those files, and of five samples without a variant."""
+    text = vcf_lines(spark, sf_dir)
+    processed = text.filter("SAMPLE LIKE 'P1%' AND contains(line, ';HOM;')").withColumn("SAMPLE", F.concat("SAMPLE", F.lit("_proc")))
+    empty = spark.read.parquet(f"{sf_dir}/region.parquet").selectExpr("concat('E', r_regionkey) AS SAMPLE")
+    folder = scratch_path(spark, "samples")
+    write_vcf_text(text.unionByName(processed, allowMissingColumns=True), folder, 1, empty)
+    return folder
+
+
 @query(
     "build_cohort",
     f"""{check_sql("", every=RECORDS, r=BUILT).strip()}, {LAST}, {alleles("last_record")}, {ANNOTATIONS}, {FIRST}
@@ -412,11 +422,7 @@ def build_cohort_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     n_samples counts the samples without variants; `again` is how many files the second run ingests.
     """
-    text = vcf_lines(spark, sf_dir)
-    processed = text.filter("SAMPLE LIKE 'P1%' AND contains(line, ';HOM;')").withColumn("SAMPLE", F.concat("SAMPLE", F.lit("_proc")))
-    empty = spark.read.parquet(f"{sf_dir}/region.parquet").selectExpr("concat('E', r_regionkey) AS SAMPLE")
-    folder, cohort = scratch_path(spark, "samples"), scratch_path(spark, "cohort")
-    write_vcf_text(text.unionByName(processed, allowMissingColumns=True), folder, 1, empty)
+    folder, cohort = superseded_samples(spark, sf_dir), scratch_path(spark, "cohort")
     build_cohort(spark, folder, cohort, "_proc", ending=".txt")
     again = build_cohort(spark, folder, cohort, "_proc", ending=".txt")
     calls = plain(read_cohort_parquet(spark, cohort))
