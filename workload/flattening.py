@@ -374,7 +374,7 @@ MIXED_SQL = steps(
 )
 
 
-@query("flatten_mixed_files", MIXED_SQL)
+@query("flatten_mixed_files", MIXED_SQL.replace("allele_rows AS (", "allele_rows AS MATERIALIZED ("))
 def flatten_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotated and unannotated files, files that disagree about a type, and undeclared keys, read together."""
     text = vcf_lines(spark, sf_dir).withColumn(
