@@ -50,3 +50,15 @@ def test_stages_take_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF_DIR).count() >= 0
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_one_row_of_equal_ones_stays(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    near = " ".join(["changed", *[f"w{i}" for i in range(1, 60)]])
+    rows = [(4, text), (None, text), (7, text), (8, near), (None, other), (None, other), (9, ""), (9, ""), (None, ""), (None, None), (11, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "1L AS n_chars", "5 AS _copies")
+    got = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    expected = [(4, text), (None, other), (9, ""), (None, ""), (None, None), (11, None)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(expected, key=repr)
