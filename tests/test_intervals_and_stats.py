@@ -159,3 +159,17 @@ def test_general_stats_needs_its_columns(spark):
     df = spark.createDataFrame([("c", "HOM", "SNP", "LOW", "e")], "CHROM string, ZIGOSITY string, VARTYPE string, IMPACT string, EFFECT string")
     assert rows(S.general_stats(df)) == [("c", "HOM", "SNP", "LOW", "e", 1)]
     assert S.general_stats(df.drop("IMPACT")) is None
+
+
+def test_grouped_quantiles_match_pandas(spark):
+    """Values of one, two and four digits, negative ones, repeats, NULLs and a group without a value."""
+    random.seed(8)
+    data = [("small", random.randrange(9)) for _ in range(50)] + [("wide", random.randrange(-(1 << 40), 1 << 40)) for _ in range(60)]
+    data += [("same", 70_000)] * 40 + [("one", -5), (None, 3), (None, 4), ("none", None), ("one", None)]
+    df = spark.createDataFrame(data, "g string, v bigint")
+    wanted = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r["g"]: r["_q"] for r in S.grouped_quantiles(df, ["g"], "v", wanted).collect()}
+    for group in ("small", "wide", "same", "one", None):
+        values = pd.Series([v for g, v in data if g == group and v is not None], dtype=float)
+        assert got[group] == pytest.approx([values.quantile(p) for p in wanted], rel=1e-12)
+    assert "none" not in got and S.grouped_quantiles(df.limit(0), ["g"], "v", wanted).count() == 0

@@ -119,3 +119,17 @@ def test_compare_job(spark, trio):
     duo = {n: trio[n] for n in ("TEST", "TEST2")}
     out = J.compare(duo, "A:B", genes, ["ZIGOSITY_TEST HOM"])
     assert rows(out, "POS", "GENE_NAME") == [(3, "g3")]
+
+
+def test_masks_of_many_samples(spark):
+    names = [f"S{i:02d}" for i in range(40)]
+    held = {1: [0, 39], 2: [0, 39], 3: [5], 4: [0, 5, 39]}
+    data = [(names[i], "chr1", pos, "A", "G") for pos, samples in held.items() for i in samples] + [("other", "chr1", 3, "A", "G"), ("S05", "chr1", 3, "A", "G")]
+    calls = spark.createDataFrame(data, "SAMPLE string, CHROM string, POS bigint, REF string, ALT string")
+    counts = V.mask_counts(V.presence_masks(calls, names))
+    label = V.region_of(F.col("MASK"), names).alias("VENN")
+    assert rows(counts.select(label, "variants")) == [("S00:S05:S39", 1), ("S00:S39", 2), ("S05", 1)]
+    shared = V.at_least_counts(counts, len(names), 3).select(label, "variants")
+    assert rows(shared) == [("S00", 3), ("S00:S05", 1), ("S00:S05:S39", 1), ("S00:S39", 3), ("S05", 2), ("S05:S39", 1), ("S39", 3)]
+    with pytest.raises(ValueError, match="63"):
+        V.presence_masks(calls, [str(i) for i in range(64)])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from variantloom.functions.labels import col
+from variantloom.operators.stats import grouped_quantiles
 from variantloom.session import BROADCAST_BYTES, BROADCAST_ROWS, row_bytes
 
 DEPTH_BIN = 1 << 17
@@ -187,10 +188,11 @@ def with_gene(coverage: DataFrame) -> DataFrame:
     return coverage.withColumn("GENE", F.substring_index("EXON", "_", 1))
 
 
-def depth_summary(coverage: DataFrame, level: str = "GENE", by: Sequence[str] = ()) -> DataFrame:
+def depth_summary(coverage: DataFrame, level: str = "GENE", by: Sequence[str] = (), spread: bool = False) -> DataFrame:
     """Mean, std, min, quartiles, max of DEPTH over the runs of each (level, CHROM).
 
-    Exact quartiles keep one counter per distinct depth of a group, merged map-side.
+    Exact quartiles keep one counter per distinct depth of a group, merged map-side; with `spread`
+    they are found over ranges of depths, for groups whose counters would not fit a task.
     """
     if level == "GENE" and "GENE" not in coverage.columns:
         coverage = with_gene(coverage)
@@ -202,6 +204,11 @@ def depth_summary(coverage: DataFrame, level: str = "GENE", by: Sequence[str] =
         quartiles.alias("_q"),
         F.max("DEPTH").alias("max"),
     )
+    if spread:
+        groups = [*by, level, "CHROM"]
+        apart = grouped_quantiles(coverage, groups, "DEPTH", [0.25, 0.5, 0.75])
+        same = reduce(lambda a, b: a & b, [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in groups])
+        grouped = grouped.drop("_q").alias("l").join(apart.alias("r"), same, "left").select("l.*", "r._q")
     q = F.col("_q")
     return grouped.select(
         *by, level, "CHROM", "mean", "std", "min",

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantloom.functions.labels import col
+from variantloom.functions.labels import col, quoted
 from variantloom.names import KEY
+from variantloom.session import written
 
 
 def general_stats(df: DataFrame) -> DataFrame | None:
@@ -226,3 +227,44 @@ def profile(df: DataFrame) -> DataFrame:
 def list_values(df: DataFrame, name: str) -> DataFrame:
     """Distinct values of a column, sorted: samples, genes of panels, chromosomes."""
     return df.select(col(name)).distinct().orderBy(col(name))
+
+
+DIGIT = 16
+
+
+def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+    """`by` and _q, the exact quantiles (linear interpolation) of whole numbers for each group.
+
+    Equal values are counted first. Ranks are then looked for digit by digit, 16 bits at a time, among the counts of a
+    group's digits: no buffer or window holds more than 65,536 rows, however many values a group has. NULLs do not count.
+    """
+    by = list(by)
+    counts = df.filter(col(value).isNotNull()).groupBy(*[col(c) for c in by], col(value).cast("bigint").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(counts, "value-counts")
+    largest = counts.select(F.max(F.abs("_v"))).first()[0] or 0
+    levels = max(1, -(-(int(largest).bit_length() + 1) // DIGIT))
+    size = F.col("_size") - 1
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(f(size * F.lit(float(p)))) for p in probabilities for f in (F.floor, F.ceil)])))
+    sizes = counts.groupBy(*[col(c) for c in by]).agg(F.sum("_n").alias("_size"))
+    keys = [quoted(c) for c in by]
+    wanted = sizes.select(*keys, "_size", F.lit(None).cast("bigint").alias("_prefix"), F.explode(ranks).alias("_rank")).withColumn("_left", F.col("_rank"))
+    for level in reversed(range(levels)):
+        digit = F.shiftright("_v", DIGIT * level).alias("_digit")
+        above = (F.lit(None).cast("bigint") if level == levels - 1 else F.shiftright("_v", DIGIT * (level + 1))).alias("_prefix")
+        asked = wanted.groupBy(*keys, "_prefix").agg(F.collect_set(F.struct("_size", "_rank", "_left")).alias("_asked"))
+        held = counts.select(*keys, above, digit, "_n").groupBy(*keys, "_prefix", "_digit").agg(F.sum("_n").alias("_n"))
+        same = reduce(lambda a, b: a & b, [F.col(f"a.{c}").eqNullSafe(F.col(f"h.{c}")) for c in [*keys, "_prefix"]])
+        open_rows = held.alias("h").join(asked.alias("a"), same).select(*[f"h.{c}" for c in keys], "h._prefix", "_digit", "_n", "_asked")
+        end = F.sum("_n").over(Window.partitionBy(*keys, "_prefix").orderBy("_digit"))
+        placed = open_rows.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_n"))
+        mine = F.filter("_asked", lambda x: (x["_left"] >= F.col("_start")) & (x["_left"] < F.col("_end")))
+        found = placed.select(*keys, "_digit", "_start", F.inline(mine))
+        wanted = written(
+            found.select(*keys, "_size", F.col("_digit").alias("_prefix"), "_rank", (F.col("_left") - F.col("_start")).alias("_left")), "ranks"
+        )
+    told = wanted.groupBy(*keys, "_size").agg(F.map_from_entries(F.collect_list(F.struct("_rank", F.col("_prefix").cast("double")))).alias("_at"))
+    places = [(size * F.lit(float(p)), F.floor(size * F.lit(float(p)))) for p in probabilities]
+    quantiles = [
+        F.element_at("_at", low) + (F.element_at("_at", F.ceil(place)) - F.element_at("_at", low)) * (place - low) for place, low in places
+    ]
+    return told.select(*keys, F.array(*quantiles).alias("_q"))

@@ -219,6 +219,46 @@ def venn_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
+def presence_masks(calls: DataFrame, names: Sequence[str], sample: str = "SAMPLE") -> DataFrame:
+    """Variant key and MASK of the named samples (63 at most), bit i for the i-th; one aggregate, map-side combine."""
+    if len(names) > 63:
+        raise ValueError("a mask holds 63 samples")
+    bits = F.create_map(*[part for i, n in enumerate(names) for part in (F.lit(n), F.lit(1 << i).cast("bigint"))])
+    wanted = calls.select(*KEY, F.try_element_at(bits, col(sample)).alias("_bit")).filter("_bit IS NOT NULL")
+    return wanted.groupBy(*KEY).agg(F.bit_or("_bit").alias("MASK"))
+
+
+def region_of(mask: Column, names: Sequence[str]) -> Column:
+    """":"-joined names of a mask's samples, in their order."""
+    told = [F.when(mask.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(n)) for i, n in enumerate(names)]
+    return F.concat_ws(":", *told)
+
+
+def mask_counts(masks: DataFrame) -> DataFrame:
+    """MASK, variants: how many variants are in exactly these samples; only regions that occur."""
+    return masks.groupBy("MASK").agg(F.count(F.lit(1)).alias("variants"))
+
+
+def sub_masks(mask: Column, n: int, size: int) -> Column:
+    """All non-empty sub-masks of at most `size` bits: each round adds a bit above a mask's highest."""
+    bits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.call_function("shiftleft", F.lit(1).cast("bigint"), i)), lambda b: b.bitwiseAND(mask) != 0)
+    found = grown = bits
+    for _ in range(size - 1):
+        grown = F.flatten(F.transform(grown, lambda m: F.transform(F.filter(bits, lambda b: b > m), lambda b: m.bitwiseOR(b))))
+        found = F.concat(found, grown)
+    return found
+
+
+def at_least_counts(counts: DataFrame, n: int, size: int = 2) -> DataFrame:
+    """MASK, variants: how many variants are in at least these samples, for regions of up to `size` of the n samples.
+
+    Sums over supersets: every occurring mask, with its count, adds to its sub-masks. Their number
+    goes with n to the power of `size`, not with the variants.
+    """
+    spread = counts.select(F.explode(sub_masks(F.col("MASK"), n, size)).alias("MASK"), "variants")
+    return spread.groupBy("MASK").agg(F.sum("variants").alias("variants"))
+
+
 def shared_variants(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of `a` whose variant is also in `b`."""
     return a.join(b.select(*KEY), SORT_KEY, "left_semi")

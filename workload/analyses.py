@@ -194,6 +194,35 @@ def venn_counts(spark, sf_dir):
     return plain(V.venn_counts(trio_membership(spark, sf_dir), TRIO_NAMES))
 
 
+# Samples of a line number and a return flag, variants of an order: 21 samples, many regions.
+MANY = f"""SELECT DISTINCT CONCAT('P', CAST(l_linenumber AS STRING), l_returnflag) AS sample, CONCAT('chr', CAST(l_orderkey % 22 + 1 AS STRING)) AS chrom,
+  1000 + l_orderkey * 37 AS pos, {base('l_orderkey')} AS ref, {base('l_orderkey + 1')} AS alt FROM {{lineitem}}"""
+MANY_NAMES = [f"P{i}{flag}" for i in range(1, 8) for flag in "ANR"]
+MANY_REGIONS = f"SELECT {ID}, STRING_AGG(sample, ':' ORDER BY sample) AS venn FROM m GROUP BY {ID}"
+
+
+@query("many_sample_regions", check_sql(f"SELECT venn, COUNT(*) AS variants FROM ({MANY_REGIONS}) v GROUP BY venn", m=MANY))
+def many_sample_regions(spark, sf_dir):
+    """Variants in exactly the samples of each region that occurs, among 21 samples."""
+    counts = V.mask_counts(V.presence_masks(variants(spark, sf_dir, MANY), MANY_NAMES))
+    return counts.select(V.region_of(F.col("MASK"), MANY_NAMES).alias("venn"), "variants")
+
+
+@query(
+    "shared_at_least",
+    check_sql(
+        f"""SELECT sample AS venn, COUNT(*) AS variants FROM m GROUP BY sample
+  UNION ALL SELECT a.sample || ':' || b.sample, COUNT(*) FROM m a JOIN m b USING ({ID}) WHERE a.sample < b.sample GROUP BY 1""",
+        m=MANY,
+    ),
+)
+def shared_at_least(spark, sf_dir):
+    """Variants that each sample, and each two samples, hold at least."""
+    counts = V.mask_counts(V.presence_masks(variants(spark, sf_dir, MANY), MANY_NAMES))
+    shared = V.at_least_counts(counts, len(MANY_NAMES), 2)
+    return shared.select(V.region_of(F.col("MASK"), MANY_NAMES).alias("venn"), "variants")
+
+
 @query("venn_place", check_sql(f"SELECT * FROM ({VENN_SQL}) v WHERE venn = 'TEST:TEST3'", t=TRIO))
 def venn_place(spark, sf_dir):
     return plain(V.venn_place(trio_membership(spark, sf_dir), "A:C", TRIO_NAMES), *KEY_NAMES, "VENN")
@@ -692,6 +721,14 @@ def depth_summary_exon(spark, sf_dir):
     return summary(spark, sf_dir, "EXON")
 
 
+@query("depth_summary_spread", summary_sql("gene"))
+def depth_summary_spread(spark, sf_dir):
+    """The same with quartiles found over ranges of depths."""
+    cover = J.coverage(reads(spark, sf_dir), exons(spark, sf_dir), bin_width=1 << 10)
+    table = I.depth_summary(cover, "GENE", spread=True)
+    return plain(table.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)}))
+
+
 @query(
     "write_depth_reports",
     cover_sql("SELECT gene, chrom, ROUND(AVG(depth), 6) AS mean, MIN(depth) AS lowest, MAX(depth) AS highest FROM cover GROUP BY gene, chrom"),
