@@ -112,6 +112,7 @@ def test_stream_ingests_each_file_once(spark, tmp_path):
     folder.mkdir()
     first = write(folder / "a.vcf", "S1", one_record(1))
     write(folder / "b.vcf", "S2", one_record(2))
+    write(folder / "e.vcf", "S0", [])
     header = load_header(header_lines(read_lines(spark, first)))
     stream_cohort(spark, str(folder), cohort, checkpoint, header, files_per_batch=1).awaitTermination()
     assert rows(T.read_cohort_parquet(spark, cohort), "SAMPLE", "POS") == [("S1", 1), ("S2", 2)]
@@ -119,6 +120,7 @@ def test_stream_ingests_each_file_once(spark, tmp_path):
     query = stream_cohort(spark, str(folder), cohort, checkpoint, header)
     query.awaitTermination()
     assert query.lastProgress["numInputRows"] < 30
+    assert J.cohort_size(spark, cohort) == 4  # S0 has no variant
     assert rows(T.read_cohort_parquet(spark, cohort), "SAMPLE", "POS") == [("S1", 1), ("S2", 2), ("S3", 3)]
 
 
