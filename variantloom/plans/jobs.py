@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,17 +69,26 @@ def sample_tables(variants: DataFrame, names: Sequence[str]) -> dict[str, DataFr
     return {n: variants.filter(F.col("SAMPLE") == n).drop("SAMPLE") for n in names}
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as the file metadata of Spark names it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+
+
 def read_samples(
     spark: SparkSession, paths: Sequence[str], prioritized: bool | Ranks = True, header: Header | None = None
 ) -> dict[str, DataFrame]:
     """One variant table per VCF file, in the given order, keyed by sample; all files are read together.
 
-    Names come from the headers. Two files with one sample name are an error, not one table.
+    Names come from the headers, all read in one job. Two files with one sample name are an error, not one table.
     """
+    headers = sample_names(header_lines(read_lines(spark, list(paths)))).collect()  # a row per given file
+    held = {unquote(row["file"]): row["SAMPLE"] for row in headers}
     named: dict[str, str] = {}
     for path in paths:
-        found = sample_names(header_lines(read_lines(spark, path))).select("SAMPLE").distinct().limit(2).collect()
-        name = found[0]["SAMPLE"] if found else path.rsplit("/", 1)[-1]
+        place = qualified(spark, path)
+        found = sorted({name for file, name in held.items() if file == place or file.startswith(place + "/")})
+        name = found[0] if found else path.rsplit("/", 1)[-1]
         if len(found) > 1 or name in named:
             raise ValueError(f"{path}: one file per sample is needed, {name} comes twice")
         named[name] = path
