@@ -496,3 +496,17 @@ def test_notices_are_named_and_prose_is_not(spark, docs, empty):
     assert got == {(i, 1, names[i % 8]) for i in range(80) if i % 8 < 4} | {(None, 0, "Apache-2.0")}
     assert license_scan.licence_paragraphs(empty).count() == 0
     assert license_scan.licence_paragraphs(docs).filter("confirmed").count() == 0
+
+
+def test_runs_from_matching_shingles_are_those_of_whole_diagonals(monkeypatch):
+    rng = np.random.default_rng(6)
+    for trial in range(300):
+        equal = rng.random(rng.integers(1, 120)) < rng.choice([0.1, 0.5, 0.8, 0.95])
+        dense = [(a, b, int(equal[a:b].sum())) for a, b in substring_dedup.best_runs(equal, 80)]
+        assert substring_dedup.sparse_runs(np.flatnonzero(equal).tolist(), 80) == dense
+    for trial in range(60):
+        a, b = (rng.integers(0, rng.choice([3, 40]), rng.integers(5, 90)).astype(np.uint32) for _ in "ab")
+        few = sorted(substring_dedup.all_runs(a, b, [0, 7], 80))
+        with monkeypatch.context() as patched:
+            patched.setattr(substring_dedup, "matches", lambda *args: None)
+            assert sorted(substring_dedup.all_runs(a, b, [0, 7], 80)) == few
