@@ -88,11 +88,17 @@ def level_of(width: int) -> Column:
     return reduce(lambda a, b: a + b, [(length > F.lit(width << LEVEL_BITS * i)).cast("int") for i in range(LEVELS - 1)])
 
 
-def bin_keys(level: int, width: int, role: int) -> Column:
+def bin_keys(level: Column | int, width: int, role: int) -> Column:
     """Keys of the bins that the interval touches at a level; at its own or a higher one these are at most two."""
-    wide = width << LEVEL_BITS * level
-    bins = F.sequence(bin_of(F.col("START"), wide), bin_of(F.col("END") - 1, wide))
-    return F.transform(bins, lambda b: (b * LEVELS + level) * 2 + role)
+    level = F.lit(level) if isinstance(level, int) else level
+    wide = F.call_function("shiftleft", F.lit(width).cast("bigint"), level * LEVEL_BITS)
+    first, last = F.call_function("div", F.col("START"), wide), F.call_function("div", F.col("END") - 1, wide)
+
+    def key(b: Column) -> Column:
+        return (b * LEVELS + level) * 2 + role
+
+    two = F.when(first == last, F.array(key(first))).when(first + 1 == last, F.array(key(first), key(last)))
+    return two.otherwise(F.transform(F.sequence(first, last), key))  # longer than the widest bins
 
 
 def when_level(condition: Column, keys: Column) -> Column:
@@ -106,16 +112,15 @@ def looking_keys(levels: Sequence[int], width: int) -> Column:
     """
     own = F.col("_level")
     parts = [when_level(own <= i, bin_keys(i, width, 0)) for i in levels]
-    parts += [when_level(own == i, bin_keys(i, width, 1)) for i in range(min(levels) + 1, LEVELS)] if levels else []
+    parts += [when_level(own > min(levels), bin_keys(own, width, 1))] if levels else []
     return F.concat(*parts) if parts else F.array().cast("array<bigint>")
 
 
 def lying_keys(width: int) -> Column:
     """Keys under which an interval is found: its own bins (role 0), and those above them (role 1)."""
     own = F.col("_level")
-    parts = [when_level(own == i, bin_keys(i, width, 0)) for i in range(LEVELS)]
-    parts += [when_level(own < i, bin_keys(i, width, 1)) for i in range(1, LEVELS)]
-    return F.concat(*parts)
+    above = [when_level(own < i, bin_keys(i, width, 1)) for i in range(1, LEVELS)]
+    return F.concat(bin_keys(own, width, 0), *above)
 
 
 def with_keys(df: DataFrame, width: int, keys: Column) -> DataFrame:
