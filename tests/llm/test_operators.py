@@ -445,6 +445,45 @@ def test_near_passages_with_a_word_put_in_or_left_out_meet(spark):
     assert found <= planted and len(found) >= 0.97 * len(planted)
 
 
+def test_passages_unlike_their_leader_meet_members_that_are_like_it(spark):
+    """Likeness is not transitive: C, like B but not like A, finds B though B went with A."""
+    rng = random.Random(17)
+    rows, near, equal = [], set(), set()
+
+    def held(i, part):
+        rows.append((i, " ".join([prose(rng, 30, 50000), *part, prose(rng, 30, 50000)])))
+
+    for i in range(0, 480, 4):
+        if i % 8:
+            part = prose(rng, 53 if i % 16 == 4 else 60, 50000).split(" ")
+            first, last = list(part), list(part)
+            first[rng.randrange(8, 20)], last[rng.randrange(32, 44)] = "new", "other"
+            held(i, first), held(i + 1, part), held(i + 2, last), held(i + 3, part)
+            near.add((i + 2, i + 1))
+        else:
+            part = prose(rng, 100, 50000).split(" ")
+            held(i, part[:72]), held(i + 1, part), held(i + 2, part[28:80])
+            equal.add((i + 2, i + 1))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    found = {(r.doc_id, r.like_doc_id) for r in got}
+    assert equal <= found
+    assert len(near & found) >= 0.98 * len(near)
+
+
+def test_a_key_of_many_unlike_members_is_joined_whole(spark, monkeypatch):
+    """Groups dealt over several tasks lose no pair."""
+    rng = random.Random(18)
+    # Long enough to give all of them one key, too short to be a passage.
+    short = prose(rng, 48)
+    tails = [prose(rng, 12) for _ in range(15)]
+    rows = [(i, " ".join([prose(rng, 20), short, tails[i // 2], prose(rng, 20)])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    whole = sorted(map(tuple, substring_dedup.repeated_passages(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "MEMBERS", 2)
+    assert sorted(map(tuple, substring_dedup.repeated_passages(docs).collect())) == whole
+    assert {(2 * i + 1, 2 * i) for i in range(1, 15)} <= {(r[0], r[3]) for r in whole}
+
+
 def test_near_passage_beside_other_shared_words_is_found():
     """A stray shared phrase, or a heavily edited part, behind a near passage does not hide it."""
     rng = np.random.default_rng(14)
