@@ -537,6 +537,23 @@ def test_notices_are_named_and_prose_is_not(spark, docs, empty):
     assert license_scan.licence_paragraphs(docs).filter("confirmed").count() == 0
 
 
+def test_licence_features_and_levels_come_from_all_paragraphs(spark):
+    """What only documents beyond any few hundred hold still counts."""
+    rng = random.Random(21)
+    ids = spark.range(700).orderBy(F.xxhash64("id"), "id")
+    late = {r.id for r in ids.collect()[400:]}
+    phrase = "provided that the following conditions are met"
+    rows = [(i, prose(rng, 30) + "\n" + prose(rng, 12) + (f" {phrase} {prose(rng, 9)}" if i in late else "")) for i in range(700)]
+    scanned = license_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), license_scan.Limits())
+    model = license_scan.trained(scanned)
+    lines = [words(line) for _, text in rows for line in text.split("\n")]
+    counts = Counter(g for line in lines for g in {f"{a} {b}" for a, b in zip(line, line[1:])})
+    least = max(0.005 * len({tuple(line) for line in lines}), 8)
+    assert counts["conditions are"] == len(late) > least
+    assert not {"following conditions", "conditions are", "are met"} & set(model.features)
+    assert set(model.features) >= {g for g in license_scan.listed_bigrams(spark, license_scan.Limits()) if counts[g] <= least}
+
+
 def test_runs_from_matching_shingles_are_those_of_whole_diagonals(monkeypatch):
     rng = np.random.default_rng(6)
     for trial in range(300):

@@ -1,9 +1,11 @@
 """Licence paragraphs by a trained classifier, in DataFrame functions and Spark's own regression only.
 
 A multinomial logistic regression over sparse word bigrams is trained on parts of known notices and,
-as its unknown class, on a bounded sample of the corpus's own paragraphs. A family is reported where
-its probability passes the level that held-out unknown paragraphs stay below, and confirmed where
-the paragraph also holds most of one of the family's notices.
+as its unknown class, on all of the corpus's other paragraphs: half of the different ones teach it, the
+other half calibrate it. Only which of the notices' bigrams a paragraph holds counts, so paragraphs that
+hold the same are one weighted row. A family is reported where its probability passes the level that
+held-out unknown paragraphs stay below, and confirmed where the paragraph also holds most of one of
+the family's notices.
 """
 
 from __future__ import annotations
@@ -49,7 +51,6 @@ FAMILIES = [UNKNOWN, *dict.fromkeys(f for f, _ in NOTICES)]
 
 @dataclass(frozen=True)
 class Limits:
-    sample_docs: int = 400  # documents whose paragraphs teach the unknown class, at most
     frequent: float = 0.005  # a bigram in more of the unknown paragraphs than this is no feature
     part: float = 0.6  # shortest part of a notice that is a training example
     least: float = 0.6  # lowest probability of a family, whatever the calibration says
@@ -68,13 +69,6 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_id", "place", tokens(F.col("line")).alias("words")).filter(F.size("words") > 1)
 
 
-def bigrams(rows: DataFrame, *kept: str) -> DataFrame:
-    """A row (a, b) for each two words in a row."""
-    n = F.size("words") - 1
-    pairs = F.arrays_zip(F.slice("words", F.lit(1), n).alias("a"), F.slice("words", F.lit(2), n).alias("b"))
-    return rows.select(*kept, F.inline(pairs).alias("a", "b"))
-
-
 def notice_parts(spark: SparkSession, part: float) -> DataFrame:
     """notice, family, example, words: every run of words of a notice that is long enough."""
     rows = spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(NOTICES)], "notice int, family string, text string")
@@ -87,38 +81,48 @@ def notice_parts(spark: SparkSession, part: float) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Features with their weights per family, intercepts, each notice's features, and the level of a call."""
+    """Features (bigrams) with their weights per family, intercepts, each notice's features, and the level of a call."""
 
-    features: list[tuple[str, str]]
+    features: list[str]
     weights: list[list[float]]
     intercepts: list[float]
     notices: list[tuple[str, list[int]]]
     level: float
 
 
-def sample(docs: DataFrame, limits: Limits) -> DataFrame:
-    """Paragraphs of the documents whose ids hash lowest: a bounded sample, the same in every run."""
-    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limits.sample_docs)
-    chosen = [r[0] for r in ids.collect()]
-    rows = paragraphs(docs.filter(F.col("doc_id").isin(chosen))) if chosen else paragraphs(docs.limit(0))
-    return written(rows.select("words", F.pmod(F.xxhash64("words"), F.lit(2)).alias("half")).distinct(), "paragraphs")
-
-
 def joined_words(words: Column) -> Column:
     """The bigrams of a word array as texts."""
     n = F.size(words) - 1
     return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def trained(docs: DataFrame, limits: Limits = Limits()) -> Model:
-    """Fit the classifier; what it learns from is bounded by the notices and `sample_docs`."""
-    spark = docs.sparkSession
+def listed_bigrams(spark: SparkSession, limits: Limits) -> list[str]:
+    """All bigrams of the notices."""
+    parts = notice_parts(spark, limits.part).filter("whole")
+    return sorted(r[0] for r in parts.select(F.explode(joined_words(F.col("words")))).distinct().collect())
+
+
+def scanned(docs: DataFrame, limits: Limits) -> DataFrame:
+    """doc_id, text_id, place, words_id, grams of all paragraphs: `grams` are the notices' bigrams in it."""
+    listed = listed_bigrams(docs.sparkSession, limits)
+    grams = F.filter(joined_words(F.col("words")), lambda g: g.isin(listed))
+    rows = paragraphs(docs).select("doc_id", "text_id", "place", F.xxhash64("words").alias("words_id"), F.array_sort(F.array_distinct(grams)).alias("grams"))
+    return written(rows, "paragraphs")
+
+
+PATTERNS = 100_000  # weighted rows that a task of the regression holds
+
+
+def trained(rows: DataFrame, limits: Limits = Limits()) -> Model:
+    """Fit the classifier to the notices and to all different paragraphs of `scanned` rows."""
+    spark = rows.sparkSession
     parts = notice_parts(spark, limits.part).withColumn("grams", joined_words(F.col("words")))
-    seen = sample(docs, limits).withColumn("grams", F.array_distinct(joined_words(F.col("words"))))
-    total = seen.count()
+    different = rows.groupBy("words_id", "grams").agg(F.lit(1))
+    seen = written(different.groupBy("grams", F.pmod("words_id", F.lit(2)).alias("half")).agg(F.count(F.lit(1)).alias("n")), "patterns")
+    total = seen.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     listed = {r[0] for r in parts.select(F.explode("grams")).distinct().collect()}
-    counts = seen.select(F.explode("grams").alias("gram")).filter(F.col("gram").isin(sorted(listed))).groupBy("gram").count().collect()
-    frequent = {r["gram"] for r in counts if r["count"] > max(limits.frequent * total, 8)}
+    counts = seen.select(F.explode("grams").alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    frequent = {r["gram"] for r in counts if r["n"] > max(limits.frequent * total, 8)}
     whole = parts.filter("whole").select("notice", "family", "grams").collect()
     # A bigram that only names the family is a feature however often the corpus has it.
     short = {g for r in whole if len(r["grams"]) <= 10 for g in r["grams"]}
@@ -130,23 +134,25 @@ def trained(docs: DataFrame, limits: Limits = Limits()) -> Model:
     held = reduce(F.greatest, [share(F.col("grams"), [vocabulary[i] for i in ids]) for _, ids in notices if ids], F.lit(0.0))
     unknown = seen.filter(held < limits.held)
     label = F.create_map(*[x for i, f in enumerate(FAMILIES) for x in (F.lit(f), F.lit(float(i)))])
-    examples = parts.select(label[F.col("family")].alias("label"), "grams").union(
-        unknown.filter("half = 0").select(F.lit(0.0).alias("label"), "grams")
-    ).union(spark.createDataFrame([(0.0, [])], "label double, grams array<string>"))
+    known = F.filter("grams", lambda g: g.isin(vocabulary))
+    unknown = unknown.groupBy(known.alias("grams"), "half").agg(F.sum("n").alias("n"))
+    examples = parts.select(label[F.col("family")].alias("label"), "grams", F.lit(1).cast("bigint").alias("n")).union(
+        unknown.filter("half = 0").select(F.lit(0.0).alias("label"), "grams", "n")
+    ).union(spark.createDataFrame([(0.0, [], 1)], "label double, grams array<string>, n bigint"))
     # Each family and the unknown weigh the same in all.
-    per = {r["label"]: r["count"] for r in examples.groupBy("label").count().collect()}
+    per = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     weight = F.create_map(*[x for k, v in per.items() for x in (F.lit(k), F.lit(1.0 / v))])[F.col("label")]
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features")
-    vectors = vectors.setBinary(True).transform(examples.withColumn("weight", weight * F.lit(100.0))).coalesce(1)
-    fit = LogisticRegression(family="multinomial", weightCol="weight", regParam=0.002, maxIter=60).fit(written(vectors.select("label", "weight", "features"), "examples"))
+    vectors = written(vectors.setBinary(True).transform(examples.withColumn("weight", weight * F.col("n") * F.lit(100.0))).select("label", "weight", "features"), "examples")
+    vectors = vectors.coalesce(-(-vectors.count() // PATTERNS))
+    fit = LogisticRegression(family="multinomial", weightCol="weight", regParam=0.002, maxIter=60).fit(vectors)
     matrix = fit.coefficientMatrix.toArray()
     weights = [[float(matrix[k, i]) for k in range(len(FAMILIES))] for i in range(len(vocabulary))]
-    features = [tuple(g.split(" ")) for g in vocabulary]
-    model = Model(features, weights, [float(x) for x in fit.interceptVector], notices, 0.0)
+    model = Model(vocabulary, weights, [float(x) for x in fit.interceptVector], notices, 0.0)
     # Calibration: on the other half of the unknown paragraphs.
-    other = unknown.filter("half = 1").select(F.monotonically_increasing_id().alias("doc_id"), F.lit(0).alias("text_id"), F.lit(0).alias("place"), "words")
-    best = classified(written(other, "paragraphs"), model, limits).filter("probability IS NOT NULL").select(F.when(F.col("family") == UNKNOWN, 0.0).otherwise(F.col("probability")).alias("p"))
-    level = best.agg(F.percentile("p", F.lit(limits.calls))).first()[0] or 0.0
+    other = written(unknown.filter("half = 1").select(F.monotonically_increasing_id().alias("pattern"), "grams", "n"), "others")
+    best = classified(other, ["pattern", "n"], model)
+    level = best.agg(F.percentile(F.when(F.col("family") == UNKNOWN, 0.0).otherwise(F.col("probability")), F.lit(limits.calls), F.col("n"))).first()[0] or 0.0
     return Model(model.features, model.weights, model.intercepts, notices, min(max(level, limits.least), 0.99))
 
 
@@ -155,14 +161,13 @@ def share(grams: Column, wanted: list[str]) -> Column:
     return F.size(F.array_intersect(grams, F.array(*[F.lit(g) for g in wanted]))) / F.lit(len(wanted))
 
 
-def classified(rows: DataFrame, model: Model, limits: Limits) -> DataFrame:
-    """doc_id, text_id, place, family, probability, notice_share for paragraphs with any feature."""
+def classified(rows: DataFrame, key: list[str], model: Model) -> DataFrame:
+    """`key`, family, probability, notice_share for rows whose `grams` hold any feature."""
     spark = rows.sparkSession
-    table = [(a, b, i, w) for i, ((a, b), w) in enumerate(zip(model.features, model.weights))]
+    table = [(g, i, w) for i, (g, w) in enumerate(zip(model.features, model.weights))]
     # The feature table is as long as the notices; it never grows with the corpus.
-    features = F.broadcast(spark.createDataFrame(table, "a string, b string, id int, w array<double>"))
-    key = ["doc_id", "text_id", "place"]
-    hits = bigrams(rows, *key).join(features, ["a", "b"]).groupBy(*key, "id").agg(F.first("w").alias("w"))
+    features = F.broadcast(spark.createDataFrame(table, "gram string, id int, w array<double>"))
+    hits = rows.select(*key, F.explode("grams").alias("gram")).join(features, "gram")
     sums = [F.sum(F.col("w")[k]).alias(f"z{k}") for k in range(len(FAMILIES))]
     scored = hits.groupBy(*key).agg(F.collect_list("id").alias("ids"), *sums)
     logits = [F.col(f"z{k}") + F.lit(model.intercepts[k]) for k in range(len(FAMILIES))]
@@ -190,8 +195,10 @@ def licence_paragraphs(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     different texts a set each. Other columns are not read; an empty table gives an empty table.
     """
     texts = docs.select("doc_id", "text").filter("text IS NOT NULL")
-    model = trained(texts, limits)
-    found = classified(paragraphs(texts), model, limits)
+    rows = scanned(texts, limits)
+    model = trained(rows, limits)
+    key = ["doc_id", "text_id", "place"]
+    found = classified(rows.filter(F.size("grams") > 0).select(*key, "grams").distinct(), key, model)
     return found.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= model.level)).select(
         "doc_id", F.col("place").alias("paragraph"), "family", "probability", "notice_share",
         (F.col("notice_share") >= limits.held).alias("confirmed"),
