@@ -191,6 +191,18 @@ def test_exchange_separates_words_by_context(spark):
     assert sum(r.score - r.base_score for r in scores) / sum(r.n_tokens for r in scores) > 0.2
 
 
+def test_words_of_equal_counts_keep_their_classes(spark, monkeypatch):
+    """More equally frequent words than tasks hold by count: they are clustered all the same."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"{'a' if k % 2 == 0 else 'b'}{k // 2}" for k in rng.sample(range(0, 40, 2), 20) for k in (k, k + 1))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    full = {(r.doc_id, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in class_lm.lm_scores(docs).collect()}
+    monkeypatch.setattr(class_lm, "FREQUENT", 16)
+    few = {(r.doc_id, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in class_lm.lm_scores(docs).collect()}
+    assert {x[:3] for x in few} == {x[:3] for x in full}
+    assert all(abs(x[3] - x[2]) > 1 for x in few)
+
+
 # Mixing
 
 def waterfill(sizes, weights, cap=3.0):
