@@ -496,6 +496,61 @@ def test_a_key_of_many_unlike_members_is_joined_whole(spark, monkeypatch):
     assert {(2 * i + 1, 2 * i) for i in range(1, 15)} <= {(r[0], r[3]) for r in whole}
 
 
+def test_members_that_share_only_a_phrase_are_not_verified(spark, monkeypatch):
+    """The bound on the text around the centres leaves most pairs out and loses none of the passages."""
+    rng = random.Random(19)
+    phrase, rest = prose(rng, 14, 50000), prose(rng, 50, 50000)
+    rows = [(i, " ".join([prose(rng, 50, 50000), phrase, prose(rng, 50, 50000)])) for i in range(120)]
+    rows += [(200 + i, " ".join([prose(rng, 50, 50000), phrase, rest, prose(rng, 20, 50000)])) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts, real = [], substring_dedup.verified
+
+    def counted(pairs, *args):
+        counts.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(substring_dedup, "verified", counted)
+    got = sorted(map(tuple, substring_dedup.repeated_passages(docs).collect()))
+    monkeypatch.setattr(substring_dedup, "may_be_similar", lambda *args: F.lit(True))
+    assert sorted(map(tuple, substring_dedup.repeated_passages(docs).collect())) == got
+    assert (201, 200) in {(r[0], r[3]) for r in got}
+    assert counts[3] > 100 and counts[1] < counts[3] / 10
+
+
+def test_surroundings_bound_similar_passages():
+    """No pair of similar passages around two centres needs more equal shingles than the bit maps allow."""
+    rng, width = np.random.default_rng(20), 46
+    for i in range(200):
+        size = (3, 20, 10**6)[i % 3]
+        part = rng.integers(0, size, 46 + int(rng.integers(0, 30))).astype(np.uint64)
+        copy = part.copy()
+        copy[rng.integers(0, len(copy), int(rng.integers(0, 5)))] = 10**7
+        inter = len(np.intersect1d(part, copy))
+        if 100 * inter < 80 * len(np.union1d(part, copy)):
+            continue
+        at = int(rng.integers(len(part) - 46, 46))
+        texts = [np.concatenate([rng.integers(0, size, 60).astype(np.uint64), x, rng.integers(0, size, 60).astype(np.uint64)]) for x in (part, copy)]
+        (n, least, marks), (m, other, bits) = (substring_dedup.surroundings(x, np.array([60 + at]), width) for x in texts)
+        around = [len(np.unique(x[60 + at - 45 : 60 + at + 46])) for x in texts]
+        assert [int(n[0]), int(m[0])] == around and least[0] <= len(np.unique(part)) and other[0] <= len(np.unique(copy))
+        differ = sum(int(v).bit_count() for v in marks[0].view(np.uint64) ^ bits[0].view(np.uint64))
+        assert (n[0] + m[0] - differ) * 180 >= 160 * (least[0] + other[0])
+
+
+def test_runs_of_one_word_are_few_places_and_still_meet(spark):
+    """Runs of one word in any length meet, with what stands before or behind them, by few of their places."""
+    rng = random.Random(21)
+    before, behind = prose(rng, 40, 50000), prose(rng, 40, 50000)
+    rows = [(0, " ".join([prose(rng, 30, 50000), "of " * 15 + behind])), (1, " ".join([prose(rng, 30, 50000), "of " * 45 + behind]))]
+    rows += [(2, " ".join([before, "to " * 15 + prose(rng, 40, 50000)])), (3, " ".join([before, "to " * 45 + prose(rng, 40, 50000)]))]
+    rows += [(4 + i, " ".join([prose(rng, 30, 50000), "and " * (90 + 30 * i) + prose(rng, 30, 50000)])) for i in range(3)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, r.like_doc_id) for r in got} >= {(1, 0), (3, 2), (5, 4), (6, 4)}
+    grams = np.array([9, 5, 5, 5, 5, 7, 8], dtype=np.uint64)
+    places = substring_dedup.run_windows(grams, np.array([0]), np.array([0, 2, 3]), np.array([1, 2, 3]), np.array([6, 6, 6]))
+    assert [x.tolist() for x in places] == [[0, 0], [1, 4], [6, 6]]
+
+
 def test_near_passage_beside_other_shared_words_is_found():
     """A stray shared phrase, or a heavily edited part, behind a near passage does not hide it."""
     rng = np.random.default_rng(14)
