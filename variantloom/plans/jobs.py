@@ -134,7 +134,7 @@ def parse_vcf(
     glob: str = "*.vcf*",
 ) -> None:
     """Flatten VCF files or a folder to CSV or parquet."""
-    variants = flatten_vcf(spark, paths, prioritized, recursive=recursive, glob=glob)
+    variants = flatten_vcf(spark, paths, prioritized, recursive=recursive, glob=glob, together=True)
     if file_type == "csv":
         sinks.write_flat_csv(variants, out)
     elif file_type == "parquet":

@@ -18,11 +18,13 @@ from variantloom.operators.report import (
     sort_report,
 )
 from variantloom.operators.stats import general_stats
+from variantloom.session import freed_shuffles
 
 
 def write_flat_csv(variants: DataFrame, path: str) -> None:
     """Variant table as CSV with "." for missing cells."""
-    finalize_strings(variants).write.csv(path, header=True)
+    with freed_shuffles(variants.sparkSession):
+        finalize_strings(variants).write.csv(path, header=True)
 
 
 def write_flat_parquet(
@@ -36,12 +38,13 @@ def write_flat_parquet(
     if partition_by:
         variants = variants.hint("rebalance", *[col(c) for c in partition_by])
     writer = variants.write.option("compression", "snappy").partitionBy(*partition_by)
-    if append:
-        writer.mode("append").parquet(path)
-    elif partition_by:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode("overwrite").parquet(path)
+    with freed_shuffles(variants.sparkSession):
+        if append:
+            writer.mode("append").parquet(path)
+        elif partition_by:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        else:
+            writer.mode("overwrite").parquet(path)
 
 
 def write_cohort(calls: DataFrame, path: str) -> None:
